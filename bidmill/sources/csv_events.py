@@ -77,8 +77,10 @@ def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], li
     first_lines = (
         spark.read.text(path)
         .where("_metadata.file_block_start = 0")
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+        .select("value", F.col("_metadata.file_path").alias("file"))
+        .withColumn("line", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "line").alias("header"))
     )
     out: dict[tuple[str, ...], list[str]] = {}
     for row in first_lines.toLocalIterator():
