@@ -1,7 +1,8 @@
-"""Exact price sums and the mergeable partial measures kept by every stored table."""
+"""Exact price sums and the mergeable partial measures kept by every stored table.
+
+All measures are SQL expressions.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.schema import PRICES
@@ -10,58 +11,54 @@ from bidmill.schema import PRICES
 EXACT_TYPE = "decimal(28,10)"
 
 
-def exact(column: str, data_type: T.DataType) -> Column:
-    """A price as something that sums exactly: decimals as they are, floats as decimals."""
+def exact(column: str, data_type: T.DataType) -> str:
+    """A number as something that sums exactly: floats become decimals."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.col(column).cast(EXACT_TYPE)
-    return F.col(column)
+        return f"cast({column} AS {EXACT_TYPE})"
+    return column
 
 
-def mean(total: Column, count: Column) -> Column:
-    return total.cast("double") / F.nullif(count, F.lit(0))
+def mean(total: str, count: str) -> str:
+    return f"cast({total} AS double) / nullif({count}, 0)"
 
 
-def _total(count: str) -> Column:
+def total_count(column: str) -> str:
     """Sum of a count column; no rows means 0."""
-    return F.coalesce(F.sum(count), F.lit(0)).alias(count)
+    return f"coalesce(sum({column}), 0)"
 
 
-def first_partials(schema: T.StructType) -> list[Column]:
+def first_partials(schema: T.StructType) -> list[str]:
     """Partial measures over events: row count, and per price its count, sum, min and max."""
-    out = [F.count(F.lit(1)).alias("n_events")]
+    out = ["count(1) AS n_events"]
     for price in PRICES:
         out += [
-            F.count(price).alias(f"n_{price}"),
-            F.sum(exact(price, schema[price].dataType)).alias(f"sum_{price}"),
-            F.min(price).alias(f"min_{price}"),
-            F.max(price).alias(f"max_{price}"),
+            f"count({price}) AS n_{price}",
+            f"sum({exact(price, schema[price].dataType)}) AS sum_{price}",
+            f"min({price}) AS min_{price}",
+            f"max({price}) AS max_{price}",
         ]
     return out
 
 
-def merged_partials() -> list[Column]:
+def merged_partials() -> list[str]:
     """The same measures over partial rows, for a coarser grouping."""
-    out = [_total("n_events")]
+    out = [f"{total_count('n_events')} AS n_events"]
     for price in PRICES:
-        out += [
-            _total(f"n_{price}"),
-            F.sum(f"sum_{price}").alias(f"sum_{price}"),
-            F.min(f"min_{price}").alias(f"min_{price}"),
-            F.max(f"max_{price}").alias(f"max_{price}"),
-        ]
+        out.append(f"{total_count(f'n_{price}')} AS n_{price}")
+        out += [f"{f}({f}_{price}) AS {f}_{price}" for f in ("sum", "min", "max")]
     return out
 
 
-def public_measure(name: str, priced: bool) -> Column:
+def public_measure(name: str, priced: bool) -> str:
     """A reported measure from partial columns.
 
     ``priced`` tables count only rows that have a total price.
     """
-    if name == "n_events":
-        return F.col("n_total_price" if priced else "n_events").alias(name)
-    if name.startswith("avg_"):
-        price = name.removeprefix("avg_")
-        return mean(F.col(f"sum_{price}"), F.col(f"n_{price}")).alias(name)
-    if name.split("_", 1)[0] in ("sum", "min", "max"):
-        return F.col(name).cast("double").alias(name)
-    return F.col(name)
+    kind, _, price = name.partition("_")
+    if name == "n_events" and priced:
+        return "n_total_price"
+    if kind == "avg":
+        return mean(f"sum_{price}", f"n_{price}")
+    if kind in ("sum", "min", "max"):
+        return f"cast({name} AS double)"
+    return name

@@ -3,11 +3,9 @@
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bidmill.functions.measures import exact, mean
+from bidmill.functions.measures import exact, mean, total_count
 from bidmill.functions.timekeys import source_of
 from bidmill.operators.rollups import GLOBAL_EXTRAS, GLOBAL_STATS, Rollup
 from bidmill.schema import PRICES
@@ -51,75 +49,64 @@ class Aggregate:
         return f"{self.function.lower()}({'DISTINCT ' if self.distinct else ''}{self.column})"
 
 
-def over_events(aggregate: Aggregate, schema: T.StructType) -> Column:
-    """The aggregate as a column over event rows (MEDIAN is not a single column)."""
+def over_events(aggregate: Aggregate, schema: T.StructType) -> str:
+    """The aggregate as SQL over event rows (MEDIAN is not a single expression)."""
     name, column = aggregate.function, aggregate.column
     if column == "*":
-        return F.count(F.lit(1))
+        return "count(1)"
     if column not in schema.names:
         raise ValueError(f"no column {column!r} to aggregate; there are {schema.names}")
     data_type = schema[column].dataType
     if name == "COUNT":
-        return F.count_distinct(F.col(column)) if aggregate.distinct else F.count(column)
+        return f"count({'DISTINCT ' if aggregate.distinct else ''}{column})"
     if name == "APPROX_COUNT_DISTINCT":
-        return F.approx_count_distinct(column)
+        return f"approx_count_distinct({column})"
     if name in ("MIN", "MAX"):
-        out = F.min(column) if name == "MIN" else F.max(column)
-        return out.cast("double") if isinstance(data_type, T.DecimalType) else out
+        whole = isinstance(data_type, T.DecimalType)
+        return f"cast({name}({column}) AS double)" if whole else f"{name}({column})"
     if not isinstance(data_type, T.NumericType):
         raise ValueError(f"{aggregate.label}: {column} is not a number")
     if name in ("STDDEV", "VARIANCE"):
-        value = F.col(column).cast("double")
-        return F.stddev(value) if name == "STDDEV" else F.variance(value)
-    total = F.sum(exact(column, data_type))
+        return f"{name}(cast({column} AS double))"
+    total = f"sum({exact(column, data_type)})"
     if name == "AVG":
-        return mean(total, F.count(column))
-    return total if isinstance(data_type, T.IntegralType) else total.cast("double")
+        return mean(total, f"count({column})")
+    return total if isinstance(data_type, T.IntegralType) else f"cast({total} AS double)"
 
 
-def over_partials(aggregate: Aggregate, table: Rollup) -> Column | None:
-    """The aggregate as a column over a table's partial rows; None where it does not follow."""
+def over_partials(aggregate: Aggregate, table: Rollup) -> str | None:
+    """The aggregate as SQL over a table's partial rows; None where it does not follow."""
     name, column = aggregate.function, aggregate.column
     if table is GLOBAL_STATS:
         return _over_global_stats(aggregate)
     if column == "*":
-        return _count_of("n_events")
+        return total_count("n_events")
     if column in PRICES and not aggregate.distinct:
-        count, total = _count_of(f"n_{column}"), F.sum(f"sum_{column}")
+        count, total = total_count(f"n_{column}"), f"sum(sum_{column})"
         return {
             "COUNT": count,
-            "SUM": total.cast("double"),
+            "SUM": f"cast({total} AS double)",
             "AVG": mean(total, count),
-            "MIN": F.min(f"min_{column}").cast("double"),
-            "MAX": F.max(f"max_{column}").cast("double"),
+            "MIN": f"cast(min(min_{column}) AS double)",
+            "MAX": f"cast(max(max_{column}) AS double)",
         }.get(name)
     if not source_of(column, table.keys):
         return None
     if name == "COUNT" and not aggregate.distinct:
-        return F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col("n_events"))), F.lit(0))
+        return total_count(f"CASE WHEN {column} IS NOT NULL THEN n_events END")
     # These see each value once or many times alike, so the keys are as good as the events.
     return {
-        "COUNT": F.count_distinct(F.col(column)),
-        "MIN": F.min(column),
-        "MAX": F.max(column),
-        "APPROX_COUNT_DISTINCT": F.approx_count_distinct(column),
+        "COUNT": f"count(DISTINCT {column})",
+        "MIN": f"min({column})",
+        "MAX": f"max({column})",
+        "APPROX_COUNT_DISTINCT": f"approx_count_distinct({column})",
     }.get(name)
 
 
-def _count_of(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0))
-
-
-def _over_global_stats(aggregate: Aggregate) -> Column | None:
-    if aggregate == Aggregate("COUNT", "*"):
-        return _count_of("n_events")
-    kinds = {
-        "count_distinct": ("COUNT", True),
-        "min": ("MIN", False),
-        "max": ("MAX", False),
-    }
-    for stored, column, kind in GLOBAL_EXTRAS:
-        function, distinct = kinds[kind]
-        if aggregate == Aggregate(function, column, distinct):
-            return F.max(stored)
+def _over_global_stats(aggregate: Aggregate) -> str | None:
+    if aggregate.column == "*":
+        return total_count("n_events")
+    for stored, column, call in GLOBAL_EXTRAS:
+        if aggregate == Aggregate.from_text(call.format(column)):
+            return f"max({stored})"
     return None

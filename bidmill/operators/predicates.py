@@ -1,23 +1,14 @@
-"""Row conditions of a query spec as typed column predicates."""
+"""Row conditions of a query spec as typed SQL predicates."""
 
-from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from bidmill.functions.timekeys import NTZ, SPAN_DAYS
+from bidmill.functions.timekeys import SPAN_DAYS
 
-_COMPARE: dict[str, Callable[[Column, Column], Column]] = {
-    "eq": lambda c, v: c == v,
-    "neq": lambda c, v: c != v,
-    "lt": lambda c, v: c < v,
-    "lte": lambda c, v: c <= v,
-    "gt": lambda c, v: c > v,
-    "gte": lambda c, v: c >= v,
-}
+_COMPARE = {"eq": "=", "neq": "<>", "lt": "<", "lte": "<=", "gt": ">", "gte": ">="}
 OPERATORS = (*_COMPARE, "in", "between")
 
 # Which ends of the day range a condition fixes.
@@ -25,33 +16,31 @@ _BOUNDS_BELOW = ("eq", "in", "between", "gt", "gte")
 _BOUNDS_ABOVE = ("eq", "in", "between", "lt", "lte")
 
 
-def where_all(df: DataFrame, conditions: list[dict]) -> DataFrame:
+def where_all(df: DataFrame, conditions: tuple[dict, ...]) -> DataFrame:
     """Keep the rows for which every condition is true."""
+    texts = []
     for condition in conditions:
-        df = df.where(predicate(df.schema, condition))
-        for bound in _implied_day_bounds(df.schema, condition):
-            df = df.where(bound)
-    return df
+        texts += [predicate(df.schema, condition), *_implied_day_bounds(df.schema, condition)]
+    return df.where(" AND ".join(texts)) if texts else df
 
 
-def predicate(schema: T.StructType, condition: dict) -> Column:
+def predicate(schema: T.StructType, condition: dict) -> str:
     """One ``{"col", "op", "val"}`` condition over columns of ``schema``."""
     name, op, value = condition["col"], condition["op"], condition["val"]
     if name not in schema.names:
         raise ValueError(f"no column {name!r} to filter; there are {schema.names}")
-    column, data_type = F.col(name), schema[name].dataType
+    data_type = schema[name].dataType
     if op == "in":
         values = [_literal(v, data_type, name) for v in _many(value, op)]
-        return column.isin(*values) if values else F.lit(False)
+        return f"{name} IN ({', '.join(values)})" if values else "false"
     if op == "between":
-        ends = _many(value, op)
+        ends = [_literal(v, data_type, name) for v in _many(value, op)]
         if len(ends) != 2:
             raise ValueError(f"between needs two values, got {value!r}")
-        low, high = (_literal(v, data_type, name) for v in ends)
-        return column.between(low, high)
+        return f"{name} BETWEEN {ends[0]} AND {ends[1]}"
     if op not in _COMPARE:
         raise ValueError(f"unknown operator {op!r}; there are {OPERATORS}")
-    return _COMPARE[op](column, _literal(value, data_type, name))
+    return f"{name} {_COMPARE[op]} {_literal(value, data_type, name)}"
 
 
 def _many(value, op: str) -> list:
@@ -60,43 +49,61 @@ def _many(value, op: str) -> list:
     return list(value)
 
 
-def _literal(value, data_type: T.DataType, name: str) -> Column:
+def _literal(value, data_type: T.DataType, name: str) -> str:
     """``value`` as a literal of the column's own type, so that no column cast hides it."""
     if value is None or isinstance(value, bool):
         raise ValueError(f"{value!r} cannot be compared with {name}")
     if isinstance(data_type, T.TimestampNTZType):
-        return F.lit(str(_naive_time(value, name))).cast(NTZ)
+        return _naive_literal(_naive_time(value, name))
     if isinstance(data_type, T.TimestampType):
-        if not isinstance(value, (str, date)):
-            raise ValueError(f"{name} is a time, got {value!r}")
-        return F.lit(str(value)).cast("timestamp")
+        return f"timestamp'{_time(value, name)}'"
     if isinstance(data_type, T.StringType):
         if not isinstance(value, str):
             raise ValueError(f"{name} is text, got {value!r}")
-        return F.lit(value)
+        return _text_literal(value)
     try:
         number = Decimal(str(value))
     except ArithmeticError:
         raise ValueError(f"{name} is a number, got {value!r}") from None
+    if not number.is_finite():
+        raise ValueError(f"{name} is a finite number, got {value!r}")
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.lit(float(number))
-    return F.lit(int(number) if number == number.to_integral_value() else number)
+        return f"{float(number)!r}D"
+    return f"{number:f}"
 
 
-def _naive_time(value, name: str) -> datetime:
+def _text_literal(value: str) -> str:
+    """Quoted text. Anything a parser setting could read otherwise goes in as its bytes."""
+    if "'" in value or "\\" in value:
+        return f"decode(X'{value.encode().hex()}', 'UTF-8')"
+    return f"'{value}'"
+
+
+def _time(value, name: str) -> datetime:
     try:
         if isinstance(value, str):
-            value = datetime.fromisoformat(value.strip())
-        elif not isinstance(value, datetime):
-            value = datetime(value.year, value.month, value.day)
-    except (ValueError, AttributeError):
-        raise ValueError(f"{name} is a time, got {value!r}") from None
-    if value.tzinfo is not None:
+            return datetime.fromisoformat(value.strip())
+        if isinstance(value, datetime):
+            return value
+        if isinstance(value, date):
+            return datetime(value.year, value.month, value.day)
+    except ValueError:
+        pass
+    raise ValueError(f"{name} is a time, got {value!r}")
+
+
+def _naive_time(value, name: str) -> datetime:
+    time = _time(value, name)
+    if time.tzinfo is not None:
         raise ValueError(f"{name} is a local time without a zone, got {value}")
-    return value
+    return time
+
+
+def _naive_literal(time: datetime) -> str:
+    return f"timestamp_ntz'{time}'"
 
 
-def _implied_day_bounds(schema: T.StructType, condition: dict) -> list[Column]:
+def _implied_day_bounds(schema: T.StructType, condition: dict) -> list[str]:
     """Day bounds that follow from a condition on a time key.
 
     They change no result. Stored days are dates, the one time key whose Parquet statistics
@@ -110,11 +117,11 @@ def _implied_day_bounds(schema: T.StructType, condition: dict) -> list[Column]:
         return []
     bounds = []
     if op in _BOUNDS_BELOW:
-        bounds.append(F.col("day") >= _midnight(min(times)))
+        bounds.append(f"day >= {_midnight(min(times))}")
     if op in _BOUNDS_ABOVE:
-        bounds.append(F.col("day") <= _midnight(max(times) + timedelta(SPAN_DAYS[name])))
+        bounds.append(f"day <= {_midnight(max(times) + timedelta(SPAN_DAYS[name]))}")
     return bounds
 
 
-def _midnight(time: datetime) -> Column:
-    return F.lit(str(datetime(time.year, time.month, time.day))).cast(NTZ)
+def _midnight(time: datetime) -> str:
+    return _naive_literal(datetime(time.year, time.month, time.day))

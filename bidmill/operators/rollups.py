@@ -1,6 +1,7 @@
 """The 51 pre-aggregated tables, and the four finer tables most of them are built from."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,11 +130,11 @@ GLOBAL_STATS = BY_NAME["agg_global_stats"]
 
 # What agg_global_stats keeps beside the usual partials: (column, event column, aggregate).
 GLOBAL_EXTRAS = (
-    ("n_advertisers", "advertiser_id", "count_distinct"),
-    ("n_publishers", "publisher_id", "count_distinct"),
-    ("n_countries", "country", "count_distinct"),
-    ("first_day", "day", "min"),
-    ("last_day", "day", "max"),
+    ("n_advertisers", "advertiser_id", "count(DISTINCT {})"),
+    ("n_publishers", "publisher_id", "count(DISTINCT {})"),
+    ("n_countries", "country", "count(DISTINCT {})"),
+    ("first_day", "day", "min({})"),
+    ("last_day", "day", "max({})"),
 )
 
 
@@ -141,16 +142,17 @@ def rollup(events: DataFrame, name: str) -> DataFrame:
     """The named table straight from events, with its reported columns."""
     table = BY_NAME[name]
     if table.priced:  # rows without a price cannot count; dropping them early saves work
-        events = events.where(F.col("total_price").isNotNull())
+        events = events.where("total_price IS NOT NULL")
     return public_table(partials(events, table), table)
 
 
 def partials(events: DataFrame, table: Rollup) -> DataFrame:
     """Keys and mergeable partial measures of a table, from events."""
     rows = _of_type(events, table)
-    extras = [f(F.col(c)).alias(name) for name, c, f in _global_extras(table)]
-    measures = first_partials(rows.schema) + extras
-    return with_time_keys(rows, table.keys).groupBy(*table.keys).agg(*measures)
+    measures = first_partials(events.schema)
+    if table is GLOBAL_STATS:
+        measures += [f"{call.format(c)} AS {name}" for name, c, call in GLOBAL_EXTRAS]
+    return _grouped(rows, table, measures)
 
 
 def derives_from(table: Rollup, finer: Rollup) -> bool:
@@ -164,22 +166,22 @@ def derives_from(table: Rollup, finer: Rollup) -> bool:
 def merge(finer: DataFrame, finer_table: Rollup, table: Rollup) -> DataFrame:
     """The partials of ``table`` from those of a finer table."""
     rows = finer if finer_table.type == table.type else _of_type(finer, table)
-    return with_time_keys(rows, table.keys).groupBy(*table.keys).agg(*merged_partials())
+    return _grouped(rows, table, merged_partials())
 
 
 def public_table(partial_rows: DataFrame, table: Rollup) -> DataFrame:
     """The reported columns of a table from its partials."""
     if table.priced and table.keys:  # with no keys there is always one row
-        partial_rows = partial_rows.where(F.col("n_total_price") > 0)
-    measures = [public_measure(m, table.priced) for m in table.measures]
-    return partial_rows.select(*table.keys, *measures)
+        partial_rows = partial_rows.where("n_total_price > 0")
+    measures = [f"{public_measure(m, table.priced)} AS {m}" for m in table.measures]
+    return partial_rows.selectExpr(*table.keys, *measures)
 
 
 def stored_order(table: Rollup) -> list[Column]:
     """Sort columns of the stored table, over its partials."""
     out = []
     for name in table.keys if table.order is None else table.order:
-        column = public_measure(name.removeprefix("-"), table.priced)
+        column = F.expr(public_measure(name.removeprefix("-"), table.priced))
         out.append(column.desc_nulls_last() if name[0] == "-" else column.asc_nulls_last())
     return out
 
@@ -188,18 +190,15 @@ def global_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """The partials of agg_global_stats from type-split tables.
 
     Distinct counts do not merge, but each is the number of distinct keys of a small table
-    that covers all events; the one-row answers are put together by position-free maxima.
+    that covers all events; the one-row answers are put together by maxima.
     """
-    counts = tables["agg_type_counts"].agg(*merged_partials())
-    rows = [counts] + [
-        tables[source].agg(f(F.col(column)).alias(name))
-        for name, column, f in _global_extras(GLOBAL_STATS)
-        for source in [_GLOBAL_SOURCES[column]]
-    ]
-    whole = rows[0]
-    for row in rows[1:]:
-        whole = whole.unionByName(row, allowMissingColumns=True)
-    return whole.agg(*[F.max(c).alias(c) for c in whole.columns])
+    parts = [_aggregated(tables["agg_type_counts"], merged_partials())]
+    for name, column, call in GLOBAL_EXTRAS:
+        parts.append(
+            _aggregated(tables[_GLOBAL_SOURCES[column]], [f"{call.format(column)} AS {name}"])
+        )
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return _aggregated(whole, [f"max({c}) AS {c}" for c in whole.columns])
 
 
 _GLOBAL_SOURCES = {
@@ -211,12 +210,13 @@ _GLOBAL_SOURCES = {
 GLOBAL_STATS_PARENTS = ("agg_type_counts", *_GLOBAL_SOURCES.values())
 
 
-def _global_extras(table: Rollup):
-    if table is not GLOBAL_STATS:
-        return []
-    functions = {"count_distinct": F.count_distinct, "min": F.min, "max": F.max}
-    return [(name, column, functions[f]) for name, column, f in GLOBAL_EXTRAS]
+def _grouped(rows: DataFrame, table: Rollup, measures: list[str]) -> DataFrame:
+    return _aggregated(with_time_keys(rows, table.keys), measures, table.keys)
+
+
+def _aggregated(rows: DataFrame, measures: list[str], keys: tuple[str, ...] = ()) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.expr(m) for m in measures])
 
 
 def _of_type(rows: DataFrame, table: Rollup) -> DataFrame:
-    return rows if table.type is None else rows.where(F.col("type") == table.type)
+    return rows if table.type is None else rows.where(f"type = '{table.type}'")

@@ -11,7 +11,7 @@ A spec is a dict such as::
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,51 +96,46 @@ def run_spec(events: DataFrame, spec: dict | Spec) -> DataFrame:
 
 
 def evaluate(
-    rows: DataFrame, spec: Spec, measure: Callable[[Aggregate, T.StructType], Column]
+    rows: DataFrame, spec: Spec, measure: Callable[[Aggregate, T.StructType], str]
 ) -> DataFrame:
-    """A spec over ``rows``; ``measure`` gives the column that works out an aggregate there."""
+    """A spec over ``rows``; ``measure`` gives the SQL that works out an aggregate there."""
     rows = with_time_keys(rows, sorted(spec.columns))
-    if missing := spec.columns - set(rows.columns) - {a.column for a in spec.aggregates}:
+    known = set(rows.columns) | {a.column for a in spec.aggregates}
+    if missing := spec.columns - known:
         raise ValueError(f"no columns {sorted(missing)}; there are {rows.columns}")
     kept = where_all(rows, spec.where)
     if not spec.is_grouped:
-        return _ordered(kept, spec, {}).select(*_plain(kept, spec))
+        names = [n for item in spec.select for n in (rows.columns if item == "*" else [item])]
+        return _ordered(kept, spec, {}).selectExpr(*[_reported(n, rows.schema) for n in names])
     slots = {a: f"_a{i}" for i, a in enumerate(spec.aggregates)}
     if slots:
         medians = {s: a.column for a, s in slots.items() if a.function == "MEDIAN"}
-        measures = [
-            measure(a, kept.schema).alias(s) for a, s in slots.items() if s not in medians
-        ]
-        grouped = kept.groupBy(*spec.group_by).agg(*measures or [F.count(F.lit(1)).alias("_n")])
+        plain = {s: measure(a, rows.schema) for a, s in slots.items() if s not in medians}
+        measures = [f"{sql} AS {s}" for s, sql in plain.items()] or ["count(1) AS _n"]
+        grouped = kept.groupBy(*spec.group_by).agg(*[F.expr(m) for m in measures])
         if medians:
             grouped = with_medians(grouped, kept, spec.group_by, medians)
     else:
         grouped = kept.select(*spec.group_by).distinct()
-    out = [
-        F.col(slots[item]).alias(item.label) if item in slots else _as_reported(grouped, item)
+    result = [
+        f"{slots[item]} AS `{item.label}`" if item in slots else _reported(item, rows.schema)
         for item in spec.select
     ]
-    return _ordered(grouped, spec, slots).select(*out)
+    return _ordered(grouped, spec, slots).selectExpr(*result)
 
 
 def _ordered(df: DataFrame, spec: Spec, slots: dict) -> DataFrame:
     """Sorted by all the given keys at once, NULLs last in both directions."""
     if not spec.order_by:
         return df
-    keys = []
-    for what, descending in spec.order_by:
-        column = F.col(slots.get(what, what))
-        keys.append(column.desc_nulls_last() if descending else column.asc_nulls_last())
-    return df.orderBy(*keys)
+    return df.orderBy(*[
+        (F.desc_nulls_last if descending else F.asc_nulls_last)(slots.get(what, what))
+        for what, descending in spec.order_by
+    ])
 
 
-def _plain(df: DataFrame, spec: Spec) -> list[Column]:
-    names = [n for item in spec.select for n in (df.columns if item == "*" else [item])]
-    return [_as_reported(df, name) for name in names]
-
-
-def _as_reported(df: DataFrame, name: str) -> Column:
+def _reported(name: str, schema: T.StructType) -> str:
     """A plain result column; decimal prices are reported as doubles."""
-    if isinstance(df.schema[name].dataType, T.DecimalType):
-        return F.col(name).cast("double").alias(name)
-    return F.col(name)
+    if isinstance(schema[name].dataType, T.DecimalType):
+        return f"cast({name} AS double) AS {name}"
+    return name

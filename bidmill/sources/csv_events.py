@@ -48,14 +48,14 @@ def clean_events(
         strict_number(F.col("total_price"), price_type).alias("total_price"),
         "country",
     )
-    return add_time_keys(typed, local_time(F.col("ts"), zone))
+    return add_time_keys(typed, zone)
 
 
-def add_time_keys(typed: DataFrame, local) -> DataFrame:
-    """Typed events with the four time keys of the ``local`` time, in event column order."""
-    timed = typed.withColumn("_local", local)
-    keys = {key: time_key(key, F.col("_local")) for key in ("week", "day", "hour", "minute")}
-    return timed.withColumns(keys).select(*EVENT_COLUMNS)
+def add_time_keys(typed: DataFrame, zone: str) -> DataFrame:
+    """Events with the time keys of ``ts`` in ``zone``, in event column order."""
+    keys = [f"{time_key(key, '_local')} AS {key}" for key in ("week", "day", "hour", "minute")]
+    timed = typed.selectExpr("*", f"{local_time('ts', zone)} AS _local")
+    return timed.selectExpr("*", *keys).select(*EVENT_COLUMNS)
 
 
 def _reader(spark: SparkSession):

@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidmill.functions.timekeys import local_time
 from bidmill.schema import LOCAL_ZONE, RAW_COLUMNS
 from bidmill.sources.csv_events import add_time_keys
 
@@ -13,59 +12,44 @@ _EVENTS = (
 )
 _NATION = "n_nationkey int, n_name string"
 
-_TYPES = {"view": "impression", "signup": "serve"}
+# Names of the raw columns, worked out from both tables.
+_JOINED = (
+    "event_id",
+    "ts",
+    "user_id",
+    "CASE event_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'serve'"
+    " ELSE event_type END AS type",
+    "get_json_object(props, '$.k') AS publisher_id",
+    "CASE WHEN event_type IN ('view', 'signup')"
+    " THEN cast(value AS decimal(18,2)) END AS bid_price",
+    "CASE WHEN event_type = 'purchase' AND event_id % 7 <> 0"
+    " THEN cast(value AS decimal(18,2)) END AS total_price",
+    "CASE WHEN event_id % 31 <> 0 THEN n_name END AS country",
+)
 
 
 def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed ad events, one per row of the ``events`` table, with decimal prices."""
-    typed = _joined(spark, sf_dir).select(
-        "ts",
-        "type",
-        F.col("user_id").cast("int").alias("advertiser_id"),
-        F.col("publisher").cast("int").alias("publisher_id"),
-        F.col("bid").cast("decimal(18,2)").alias("bid_price"),
-        F.col("total").cast("decimal(18,2)").alias("total_price"),
-        "country",
+    typed = _joined(spark, sf_dir).selectExpr(
+        "ts", "type", "cast(user_id AS int) AS advertiser_id",
+        "cast(publisher_id AS int) AS publisher_id", "bid_price", "total_price", "country",
     )
-    return add_time_keys(typed, local_time(F.col("ts"), LOCAL_ZONE))
+    return add_time_keys(typed, LOCAL_ZONE)
 
 
 def raw_ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as a raw CSV would hold them: nine text columns."""
-    text = _joined(spark, sf_dir).select(
-        F.unix_millis("ts").alias("ts"),
-        "type",
-        F.concat(F.lit("a"), "event_id").alias("auction_id"),
-        F.col("user_id").alias("advertiser_id"),
-        F.col("publisher").alias("publisher_id"),
-        F.col("bid").cast("decimal(18,2)").alias("bid_price"),
-        "user_id",
-        F.col("total").cast("decimal(18,2)").alias("total_price"),
+    text = _joined(spark, sf_dir).selectExpr(
+        "unix_millis(ts) AS ts", "type", "concat('a', event_id) AS auction_id",
+        "user_id AS advertiser_id", "publisher_id", "bid_price", "user_id", "total_price",
         "country",
     )
-    return text.select(*[F.col(c).cast("string") for c in RAW_COLUMNS])
+    return text.selectExpr(*[f"cast({c} AS string) AS {c}" for c in RAW_COLUMNS])
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
     nation = spark.read.schema(_NATION).parquet(f"{sf_dir}/nation.parquet")
-    kind = F.col("event_type")
-    for name, ad_type in _TYPES.items():
-        kind = F.when(F.col("event_type") == name, ad_type).otherwise(kind)
     # No broadcast hint: Spark broadcasts nation only if its size is under the threshold.
-    return (
-        events.withColumn("n_nationkey", (F.col("event_id") % 25).cast("int"))
-        .join(nation, "n_nationkey", "left")
-        .select(
-            "event_id",
-            "ts",
-            "user_id",
-            kind.alias("type"),
-            F.get_json_object("props", "$.k").alias("publisher"),
-            F.when(F.col("event_type").isin("view", "signup"), F.col("value")).alias("bid"),
-            F.when(
-                (F.col("event_type") == "purchase") & (F.col("event_id") % 7 != 0), F.col("value")
-            ).alias("total"),
-            F.when(F.col("event_id") % 31 != 0, F.col("n_name")).alias("country"),
-        )
-    )
+    joined = events.join(nation, F.expr("n_nationkey = event_id % 25"), "left")
+    return joined.selectExpr(*_JOINED)
