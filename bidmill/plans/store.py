@@ -80,11 +80,10 @@ def write_rollups(
     written: dict[str, Written] = {}
 
     def write(table: Rollup) -> tuple[str, Written]:
-        df = _table_from_written(spark, out_dir, table, written)
-        if df is None:
-            df = partials(events, table)
+        merged = _merged_from_written(spark, out_dir, table, written)
+        df, at_most = merged or (partials(events, table), None)
         path = _table_path(out_dir, table.name)
-        return table.name, Written(*write_table(df, path, stored_order(table)))
+        return table.name, Written(*write_table(df, path, stored_order(table), at_most))
 
     with ThreadPoolExecutor(_WRITERS) as pool:
         for _, level in groupby(sorted(wanted, key=_level), key=_level):
@@ -96,10 +95,10 @@ def _level(table: Rollup) -> int:
     return -len(table.keys)
 
 
-def _table_from_written(
+def _merged_from_written(
     spark: SparkSession, out_dir: str, table: Rollup, written: dict[str, Written]
-) -> DataFrame | None:
-    """The partials of a table merged from tables already written, or None."""
+) -> tuple[DataFrame, int] | None:
+    """A table merged from tables already written and a bound on its rows; or None."""
 
     def read(name: str) -> DataFrame:
         return read_table(spark, _table_path(out_dir, name), written[name].schema)
@@ -107,12 +106,12 @@ def _table_from_written(
     if table is GLOBAL_STATS:
         if not all(name in written for name in GLOBAL_STATS_PARENTS):
             return None
-        return global_stats({name: read(name) for name in GLOBAL_STATS_PARENTS})
+        return global_stats({name: read(name) for name in GLOBAL_STATS_PARENTS}), 1
     finer = [n for n in written if derives_from(table, BY_NAME[n])]
     if not finer:
         return None
     smallest = min(finer, key=lambda n: written[n].rows)
-    return merge(read(smallest), BY_NAME[smallest], table)
+    return merge(read(smallest), BY_NAME[smallest], table), max(1, written[smallest].rows)
 
 
 def write_manifest(spark: SparkSession, out_dir: str, written: dict[str, Written]) -> None:

@@ -13,6 +13,9 @@ from bidmill.functions.timekeys import NTZ
 
 DATE_KEYS = ("week", "day", "month")
 
+# Some 100 MB of partials at most.
+ONE_FILE_ROWS = 1_000_000
+
 
 def write_by_type(events: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write events to ``path/type=...``, each file sorted by day, country and advertiser.
@@ -45,13 +48,19 @@ def read_by_type(spark: SparkSession, path: str, event_type: str | None = None)
     return events if event_type is None else events.where(F.col("type") == event_type)
 
 
-def write_table(df: DataFrame, path: str, order: list) -> tuple[int, T.StructType]:
+def write_table(
+    df: DataFrame, path: str, order: list, at_most: int | None = None
+) -> tuple[int, T.StructType]:
     """Write one pre-aggregated table in the given row order; its row count and file schema.
 
-    The rows are counted while they are written, not by reading them again.
+    ``at_most`` is a known bound on its rows; under ``ONE_FILE_ROWS`` one task sorts them into
+    one file, which saves the sampling and the range shuffle of a distributed sort. The rows
+    are counted while they are written, not by reading them again.
     """
     stored = _dates_stored(df)
-    if order:
+    if at_most is not None and at_most <= ONE_FILE_ROWS:
+        stored = stored.coalesce(1).sortWithinPartitions(*order) if order else stored
+    elif order:
         stored = stored.orderBy(*order)
     seen = Observation()
     counted = stored.observe(seen, F.count(F.lit(1)).alias("rows"))
