@@ -47,8 +47,9 @@ def _per_time(key: str) -> Query:
 
 def _to_six_places(query: Query, column: str) -> Query:
     """Spread measures differ between engines in the last bits."""
-    short = F.col(column).cast("decimal(24,6)").cast("double")
-    return lambda spark, sf_dir: query(spark, sf_dir).withColumn(column, short)
+    return lambda spark, sf_dir: query(spark, sf_dir).withColumn(
+        column, F.col(column).cast("decimal(24,6)").cast("double")
+    )
 
 
 def _with_millis(events: DataFrame) -> DataFrame:
