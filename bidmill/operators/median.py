@@ -16,6 +16,9 @@ from pyspark.sql.window import Window
 _ACCURACY = 10_000
 _RANKS = (0.499, 0.501)
 
+# Parts that the distinct values of one group are spread over when they meet its range.
+_SALTS = 32
+
 
 def with_medians(
     grouped: DataFrame, rows: DataFrame, keys: tuple[str, ...], medians: dict[str, str]
@@ -27,7 +30,11 @@ def with_medians(
         if not isinstance(rows.schema[column].dataType, T.NumericType):
             raise ValueError(f"median({column}): {column} is not a number")
         found = _medians(rows, keys, column).withColumnRenamed("_median", slot)
-        grouped = _join(grouped, found, keys, "left")
+        if keys:
+            grouped = _join(grouped, found, keys, "left")
+        else:  # one row each, put side by side
+            both = grouped.unionByName(found, allowMissingColumns=True)
+            grouped = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return grouped
 
 
@@ -39,11 +46,13 @@ def _medians(rows: DataFrame, keys: tuple[str, ...], column: str) -> DataFrame:
         F.count(F.lit(1)).alias("_rows"),
         F.percentile_approx("_v", list(_RANKS), _ACCURACY).alias("_ends"),
     ).where(F.col("_rows") > 0)
+    around = around.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     counts = values.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(_SALTS)).cast("int"))
     low, high = F.col("_ends")[0], F.col("_ends")[1]
     # Everything below the enclosing range becomes one NULL entry that only carries a count.
     near = (
-        _join(counts, around, keys, "inner")
+        _join(counts, around, (*keys, "_salt"), "inner")
         .where(F.col("_v") <= high)
         .withColumn("_v", F.when(F.col("_v") >= low, F.col("_v")))
         .groupBy(*keys, "_rows", "_v")
@@ -64,9 +73,9 @@ def _value_at(rank: Column) -> Column:
 
 
 def _join(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str) -> DataFrame:
-    """Join on keys, NULL equal to NULL. With no keys ``right`` is a single row."""
+    """Join on keys, NULL equal to NULL."""
     renamed = {key: f"_right_{key}" for key in keys}
     right = right.withColumnsRenamed(renamed)
     same = [F.col(key).eqNullSafe(F.col(other)) for key, other in renamed.items()]
-    joined = left.join(right, reduce(lambda a, b: a & b, same, F.lit(True)), how)
+    joined = left.join(right, reduce(lambda a, b: a & b, same), how)
     return joined.drop(*renamed.values())

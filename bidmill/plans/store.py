@@ -61,6 +61,8 @@ def prepare(
 def build_store(events: DataFrame, out_dir: str, names: tuple[str, ...] = ALL_TABLES) -> "Store":
     """Write events, the named tables, and last the manifest that makes the store readable."""
     spark = events.sparkSession
+    # An earlier manifest must not describe a half-rebuilt store.
+    spark.createDataFrame([], _MANIFEST).write.mode("overwrite").json(_manifest_path(out_dir))
     write_by_type(events, f"{out_dir}/events")
     written = write_rollups(read_by_type(spark, f"{out_dir}/events"), out_dir, names)
     write_manifest(spark, out_dir, written)
@@ -160,6 +162,8 @@ class Store:
         )
         entries = known.collect()  # at most one per table and known type
         self._rows = {(e["kind"], e["name"]): e["rows"] for e in entries}
+        if ("events", "events") not in self._rows:
+            raise ValueError(f"the store at {path} was not finished")
         self._schemas = {
             e["name"]: T.StructType.fromJson(json.loads(e["schema"]))
             for e in entries if e["schema"]

@@ -13,22 +13,30 @@ from bidmill.functions.timekeys import NTZ
 
 DATE_KEYS = ("week", "day", "month")
 
+SORT_KEYS = ("type", "day", "country", "advertiser_id")
+
 # Some 100 MB of partials at most.
 ONE_FILE_ROWS = 1_000_000
 
 
 def write_by_type(events: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write events to ``path/type=...``, each file sorted by day, country and advertiser.
-
-    The rebalance shuffle reads the input once (a range shuffle would read it twice, to
-    sample it), and lets adaptive execution cut a hot (type, day, country) into several
-    files and join small ones. Events of any type are kept, NULL included.
+    """Write events to ``path/type=...`` in the order of day, country and advertiser.
+
+    Rows are range-partitioned, so each file covers a short stretch of that order and a
+    filter on day (and country) leaves most files and row groups unread. The row position
+    comes last in the range key: equal keys, even whole copies of one row, may then fall
+    into different ranges, and no hot group has to fit into one task. Positions repeat when
+    a task is run again as long as ``events`` starts from files, not from another shuffle.
+    Events of any type are kept, NULL included.
     """
     (
         _dates_stored(events)
-        .hint("rebalance", "type", "day", "country")
-        .sortWithinPartitions("type", "day", "country", "advertiser_id")
+        .withColumn("_position", F.monotonically_increasing_id())
+        .repartitionByRange(*SORT_KEYS, "_position")
+        .sortWithinPartitions(*SORT_KEYS)
+        .drop("_position")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")  # no folder of an earlier write survives
         .partitionBy("type")
         .parquet(path)
     )

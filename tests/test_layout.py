@@ -62,6 +62,29 @@ def test_files_are_sorted_and_snappy(written):
         assert keys == sorted(keys)
 
 
+def test_files_hold_separate_stretches_of_days(spark, events, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_by_type(events, str(tmp_path / "e"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "e" / "type=error").glob("*.parquet"))
+    spans = [(min(d), max(d)) for f in files
+             for d in [pq.read_table(f, columns=["day"])["day"].to_pylist()]]
+    assert len(files) > 1
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_a_second_write_leaves_no_old_types(spark, tiny, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for kind in ("click", "serve"):
+            write_by_type(tiny([("2024-01-01", kind, 1, 1, None, None, "A")]), str(tmp_path / "e"))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(read_by_type(spark, str(tmp_path / "e")).select("type")) == [("serve",)]
+
+
 def test_unknown_and_missing_types_survive(spark, tiny, tmp_path):
     df = tiny([("2024-01-01", t, 1, 1, None, None, "A") for t in ("swipe", None, "001", "a=b/c")])
     write_by_type(df, str(tmp_path / "e"))

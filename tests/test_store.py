@@ -81,6 +81,16 @@ def test_a_store_without_a_manifest_does_not_open(spark, store, tmp_path):
         Store(spark, str(tmp_path))
 
 
+def test_an_unfinished_rebuild_does_not_open(spark, events, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    store_module.build_store(events, path, ("agg_type_counts",))
+    monkeypatch.setattr(store_module, "write_rollups", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store_module.build_store(events, path, ("agg_type_counts",))
+    with pytest.raises(ValueError, match="not finished"):
+        Store(spark, path)
+
+
 @pytest.mark.parametrize("name", ["agg_country_impressions", "agg_country_purchases",
                                   "agg_country_daily_impressions", "agg_advertiser_type"])
 def test_stored_row_order(spark, store, name):
