@@ -146,6 +146,7 @@ _PREDICATES = {
     "lte": "hour <= TIMESTAMP '2024-01-10 12:00:00'",
     "gt": "minute > TIMESTAMP '2024-01-20 06:30:00'",
     "gte": "week >= TIMESTAMP '2024-01-15'",
+    "ts": "ts_ms >= epoch_ms(TIMESTAMP '2024-01-15 08:00:00')",
     "month": "month = TIMESTAMP '2024-01-01'",
     "all_of": "publisher_id >= 20 AND publisher_id < 40",
 }

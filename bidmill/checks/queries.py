@@ -166,6 +166,7 @@ def queries() -> dict[str, Query]:
         "pred_lte": _counts_where("hour", "lte", "2024-01-10 12:00:00"),
         "pred_gt": _counts_where("minute", "gt", "2024-01-20 06:30:00"),
         "pred_gte": _counts_where("week", "gte", "2024-01-15"),
+        "pred_ts": _counts_where("ts", "gte", "2024-01-15T08:00:00+00:00"),
         "pred_month": _counts_where("month", "eq", "2024-01-01"),
         "pred_all_of": _counts_where(
             "publisher_id", "gte", 20, {"col": "publisher_id", "op": "lt", "val": 40}

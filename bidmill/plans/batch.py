@@ -1,6 +1,7 @@
 """Result files, and batches of specs."""
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -9,6 +10,8 @@ from bidmill.functions.timekeys import SPAN_DAYS, as_text
 from bidmill.plans.answer import answer
 from bidmill.plans.store import Store
 
+_AT_ONCE = 8
+
 _RECORD = "query int, rows bigint, status string, error string"
 
 
@@ -35,13 +38,18 @@ def run_batch(store: Store, specs: Iterable[dict], out_dir: str) -> DataFrame:
 
     A spec that fails is recorded with its error and does not stop the others.
     """
-    records = []
-    for number, spec in enumerate(specs, 1):
+
+    def run(numbered: tuple[int, dict]) -> tuple:
+        number, spec = numbered
         try:
             rows = write_result(answer(store, spec), f"{out_dir}/q{number}")
-            records.append((number, rows, "success", None))
         except Exception as error:  # noqa: BLE001 - whatever went wrong belongs to this spec
-            records.append((number, None, "failed", f"{type(error).__name__}: {error}"))
+            return number, None, "failed", f"{type(error).__name__}: {error}"
+        return number, rows, "success", None
+
+    # Specs run a few at a time, so that small ones share the cluster.
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        records = list(pool.map(run, enumerate(specs, 1)))
     result = store.spark.createDataFrame(records, _RECORD)
     result.coalesce(1).write.mode("overwrite").json(f"{out_dir}/records")
     return result
