@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from bidmill.functions.measures import exact, mean, total_count
+from bidmill.functions.measures import exact, mean
 from bidmill.functions.timekeys import source_of
 from bidmill.operators.rollups import GLOBAL_EXTRAS, GLOBAL_STATS, Rollup
 from bidmill.schema import PRICES
@@ -74,39 +74,50 @@ def over_events(aggregate: Aggregate, schema: T.StructType) -> str:
     return total if isinstance(data_type, T.IntegralType) else f"cast({total} AS double)"
 
 
-def over_partials(aggregate: Aggregate, table: Rollup) -> str | None:
-    """The aggregate as SQL over a table's partial rows; None where it does not follow."""
+def over_partials(aggregate: Aggregate, table: Rollup, one_row: bool = False) -> str | None:
+    """The aggregate as SQL over a table's partial rows; None where it does not follow.
+
+    With ``one_row`` every group is a single partial row, and the SQL is over that row.
+    """
     name, column = aggregate.function, aggregate.column
+
+    def merged(function: str, value: str) -> str:
+        return value if one_row else f"{function}({value})"
+
+    def count_of(value: str) -> str:
+        return f"coalesce({merged('sum', value)}, 0)"
+
     if table is GLOBAL_STATS:
-        return _over_global_stats(aggregate)
+        return _over_global_stats(aggregate, merged, count_of)
     if column == "*":
-        return total_count("n_events")
+        return count_of("n_events")
     if column in PRICES and not aggregate.distinct:
-        count, total = total_count(f"n_{column}"), f"sum(sum_{column})"
+        count, total = count_of(f"n_{column}"), merged("sum", f"sum_{column}")
         return {
             "COUNT": count,
             "SUM": f"cast({total} AS double)",
             "AVG": mean(total, count),
-            "MIN": f"cast(min(min_{column}) AS double)",
-            "MAX": f"cast(max(max_{column}) AS double)",
+            "MIN": f"cast({merged('min', f'min_{column}')} AS double)",
+            "MAX": f"cast({merged('max', f'max_{column}')} AS double)",
         }.get(name)
     if not source_of(column, table.keys):
         return None
     if name == "COUNT" and not aggregate.distinct:
-        return total_count(f"CASE WHEN {column} IS NOT NULL THEN n_events END")
+        return count_of(f"CASE WHEN {column} IS NOT NULL THEN n_events END")
     # These see each value once or many times alike, so the keys are as good as the events.
+    different = f"if({column} IS NULL, 0L, 1L)"
     return {
-        "COUNT": f"count(DISTINCT {column})",
-        "MIN": f"min({column})",
-        "MAX": f"max({column})",
-        "APPROX_COUNT_DISTINCT": f"approx_count_distinct({column})",
+        "COUNT": different if one_row else f"count(DISTINCT {column})",
+        "MIN": merged("min", column),
+        "MAX": merged("max", column),
+        "APPROX_COUNT_DISTINCT": different if one_row else f"approx_count_distinct({column})",
     }.get(name)
 
 
-def _over_global_stats(aggregate: Aggregate) -> str | None:
+def _over_global_stats(aggregate: Aggregate, merged, count_of) -> str | None:
     if aggregate.column == "*":
-        return total_count("n_events")
+        return count_of("n_events")
     for stored, column, call in GLOBAL_EXTRAS:
         if aggregate == Aggregate.from_text(call.format(column)):
-            return f"max({stored})"
+            return merged("max", stored)
     return None

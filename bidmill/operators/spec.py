@@ -96,9 +96,15 @@ def run_spec(events: DataFrame, spec: dict | Spec) -> DataFrame:
 
 
 def evaluate(
-    rows: DataFrame, spec: Spec, measure: Callable[[Aggregate, T.StructType], str]
+    rows: DataFrame,
+    spec: Spec,
+    measure: Callable[[Aggregate, T.StructType], str],
+    one_row: bool = False,
 ) -> DataFrame:
-    """A spec over ``rows``; ``measure`` gives the SQL that works out an aggregate there."""
+    """A spec over ``rows``; ``measure`` gives the SQL that works out an aggregate there.
+
+    With ``one_row`` each row is a whole group already: nothing is grouped, so nothing moves.
+    """
     rows = with_time_keys(rows, sorted(spec.columns))
     known = set(rows.columns) | {a.column for a in spec.aggregates}
     if missing := spec.columns - known:
@@ -108,7 +114,10 @@ def evaluate(
         names = [n for item in spec.select for n in (rows.columns if item == "*" else [item])]
         return _ordered(kept, spec, {}).selectExpr(*[_reported(n, rows.schema) for n in names])
     slots = {a: f"_a{i}" for i, a in enumerate(spec.aggregates)}
-    if slots:
+    if one_row:
+        measures = [f"{measure(a, rows.schema)} AS {s}" for a, s in slots.items()]
+        grouped = kept.selectExpr(*spec.group_by, *measures)
+    elif slots:
         medians = {s: a.column for a, s in slots.items() if a.function == "MEDIAN"}
         plain = {s: measure(a, rows.schema) for a, s in slots.items() if s not in medians}
         measures = [f"{sql} AS {s}" for s, sql in plain.items()] or ["count(1) AS _n"]

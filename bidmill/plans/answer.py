@@ -28,20 +28,35 @@ def rollup_covers(spec: dict | Spec, table: Rollup | str) -> bool:
 
 
 def answer_from_rollup(store: Store, name: str, spec: dict | Spec) -> DataFrame:
-    """The result of a spec from one stored table: filter, regroup, merge partials, sort."""
+    """The result of a spec from one stored table: filter, regroup, merge partials, sort.
+
+    Where every row of the table is one group of the spec, there is no regrouping.
+    """
     spec, table = Spec.of(spec), _table(name)
     if not rollup_covers(spec, table):
         raise ValueError(f"{name} does not hold what the spec asks for")
     if table.type is not None:  # the table holds no other type
         spec = spec.without_conditions_on("type")
-    return evaluate(store.partials(name), spec, lambda a, _: over_partials(a, table))
+    one_row = _rows_are_groups(spec, table)
+    return evaluate(
+        store.partials(name), spec, lambda a, _: over_partials(a, table, one_row), one_row
+    )
 
 
 def covering_tables(store: Store, spec: dict | Spec) -> list[str]:
-    """Stored tables that can answer a spec, fewest rows first."""
+    """Stored tables that can answer a spec, fewest rows first.
+
+    Among equals, filters on stored columns come before filters on derived ones, as only the
+    former reach the Parquet scan.
+    """
     spec = Spec.of(spec)
-    names = [name for name in store.tables if rollup_covers(spec, name)]
-    return sorted(names, key=lambda n: (store.tables[n], len(BY_NAME[n].keys), n))
+
+    def rank(name: str):
+        keys = BY_NAME[name].keys
+        derived = sum(c["col"] not in keys for c in spec.where)
+        return store.tables[name], derived, len(keys), name
+
+    return sorted((name for name in store.tables if rollup_covers(spec, name)), key=rank)
 
 
 def answer(store: Store, spec: dict | Spec) -> DataFrame:
@@ -53,6 +68,13 @@ def answer(store: Store, spec: dict | Spec) -> DataFrame:
     return run_spec(store.events(), spec)
 
 
+def _rows_are_groups(spec: Spec, table: Rollup) -> bool:
+    """Whether the group keys are stored keys that settle all the other keys of the table."""
+    return set(spec.group_by) <= set(table.keys) and all(
+        source_of(key, spec.group_by) for key in table.keys
+    )
+
+
 def _only_type(spec: Spec) -> str | None:
     """The one event type a spec reads, if it asks for just one."""
     types = [c["val"] for c in spec.where if c["col"] == "type" and c["op"] == "eq"]

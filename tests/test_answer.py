@@ -1,7 +1,7 @@
 """Answers from stored tables equal answers from events."""
 
 import pytest
-from helpers import CLICKS, IMPRESSIONS, PURCHASES, condition, rows, same_rows
+from helpers import CLICKS, IMPRESSIONS, PURCHASES, condition, plan_text, rows, same_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -72,6 +72,28 @@ def test_any_spec_has_one_answer(store, events, keys, aggregates, where):
         same_rows(answer_from_rollup(store, table, spec), expected)
 
 
+def test_rows_that_are_groups_are_not_shuffled(store):
+    direct = _spec(["minute", {"SUM": "bid_price"}], IMPRESSIONS,
+                   condition("day", "eq", "2024-01-10"), group_by=["minute"])
+    for table in ("agg_minute_impressions", "agg_daily_minute_impressions"):
+        assert "Exchange" not in plan_text(answer_from_rollup(store, table, direct))
+    # The table that stores the filtered day is taken, and the day reaches its scan.
+    assert covering_tables(store, direct)[0] == "agg_daily_minute_impressions"
+    assert "EqualTo(day,2024-01-10)" in plan_text(answer(store, direct))
+    merged = _spec(["week", {"SUM": "bid_price"}], IMPRESSIONS, group_by=["week"])
+    assert "Exchange" in plan_text(answer_from_rollup(store, "agg_daily_impressions", merged))
+
+
+def test_distinct_counts_of_single_rows(store, events):
+    spec = _spec(["country", {"COUNT": "DISTINCT country"}, {"COUNT": "country"},
+                  {"APPROX_COUNT_DISTINCT": "country"}, {"MIN": "country"}, {"AVG": "bid_price"}],
+                 IMPRESSIONS, group_by=["country"])
+    found = answer_from_rollup(store, "agg_country_impressions", spec)
+    assert "Exchange" not in plan_text(found)
+    assert found.dtypes == run_spec(events, spec).dtypes
+    same_rows(found, run_spec(events, spec))
+
+
 def test_total_of_a_time_range_is_one_row(store):
     assert len(rows(answer(store, SPECS["q01"]))) == 1
 
