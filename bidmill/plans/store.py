@@ -93,8 +93,9 @@ def write_rollups(
     return written
 
 
-def _level(table: Rollup) -> int:
-    return -len(table.keys)
+def _level(table: Rollup) -> tuple[bool, int]:
+    """Bases first, then tables with more keys before tables with fewer."""
+    return table not in BASES, -len(table.keys)
 
 
 def _merged_from_written(
