@@ -178,9 +178,12 @@ def public_table(partial_rows: DataFrame, table: Rollup) -> DataFrame:
 
 
 def stored_order(table: Rollup) -> list[Column]:
-    """Sort columns of the stored table, over its partials."""
+    """Sort columns of the stored table, over its partials.
+
+    Keys settle ties, so that rows with equal measures can be cut into several ranges.
+    """
     out = []
-    for name in table.keys if table.order is None else table.order:
+    for name in (*(table.order or ()), *table.keys):
         column = F.expr(public_measure(name.removeprefix("-"), table.priced))
         out.append(column.desc_nulls_last() if name[0] == "-" else column.asc_nulls_last())
     return out

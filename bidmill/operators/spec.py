@@ -134,13 +134,21 @@ def evaluate(
 
 
 def _ordered(df: DataFrame, spec: Spec, slots: dict) -> DataFrame:
-    """Sorted by all the given keys at once, NULLs last in both directions."""
+    """Sorted by all the given keys at once, NULLs last in both directions.
+
+    Ties are settled by the group keys, or by row position. So many rows with one sort value
+    can be cut into several ranges, and need not fit into one task.
+    """
     if not spec.order_by:
         return df
-    return df.orderBy(*[
+    keys = [
         (F.desc_nulls_last if descending else F.asc_nulls_last)(slots.get(what, what))
         for what, descending in spec.order_by
-    ])
+    ]
+    if spec.is_grouped:
+        given = {what for what, _ in spec.order_by}
+        return df.orderBy(*keys, *[F.asc_nulls_last(k) for k in spec.group_by if k not in given])
+    return df.withColumn("_position", F.monotonically_increasing_id()).orderBy(*keys, "_position")
 
 
 def _reported(name: str, schema: T.StructType) -> str:

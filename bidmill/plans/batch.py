@@ -16,7 +16,7 @@ _RECORD = "query int, rows bigint, status string, error string"
 
 
 def format_times(result: DataFrame) -> DataFrame:
-    """Time keys as text: ``2024-01-31`` for day, week and month, ``2024-01-31 09:30`` for minute."""
+    """Time keys as text: ``2024-01-31`` for day, week, month; ``2024-01-31 09:30`` for minute."""
     texts = {
         name: F.expr(as_text(name))
         for name, kind in result.dtypes

@@ -46,7 +46,7 @@ def store(spark):
 
 @pytest.fixture(scope="session")
 def tiny(spark):
-    """Hand-made typed events: ``tiny(rows)`` with (local minute, type, adv, pub, bid, total, country)."""
+    """Hand-made typed events from rows of (minute, type, adv, pub, bid, total, country)."""
     from datetime import datetime
 
     from pyspark.sql import functions as F

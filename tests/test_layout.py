@@ -103,7 +103,8 @@ def test_types_that_look_like_numbers_stay_text(spark, tiny, tmp_path):
 def test_a_hot_group_is_cut_into_several_files(spark, tmp_path):
     """All rows share type, day and country, and a third of them are copies of one row."""
     hot = spark.range(0, 60_000, 1, 8).select(
-        F.lit("click").alias("type"), F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("day"),
+        F.lit("click").alias("type"),
+        F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("day"),
         F.lit("US").alias("country"),
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("advertiser_id"),
         F.sha2(F.col("id").cast("string"), 256).alias("padding"),

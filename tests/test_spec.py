@@ -149,6 +149,32 @@ def test_first_sort_key_leads(small):
     ]
 
 
+def test_ties_are_settled_by_the_group_keys(small):
+    spec = {"select": ["publisher_id", "type"], "group_by": ["publisher_id", "type"],
+            "order_by": [{"col": "publisher_id", "dir": "desc"}]}
+    assert rows(run_spec(small, spec)) == [
+        (9, "swipe"), (2, "impression"), (1, "click"), (1, "impression"), (1, "purchase"),
+        (None, "click"),
+    ]
+
+
+@pytest.mark.parametrize("grouped", [True, False])
+def test_rows_with_one_sort_value_are_cut_into_ranges(spark, grouped):
+    many = spark.range(0, 40_000, 1, 8).selectExpr(
+        "'click' AS type", "cast(id AS int) AS advertiser_id"
+    )
+    spec = {"select": ["type", "advertiser_id"], "order_by": [{"col": "type"}]}
+    if grouped:
+        spec["group_by"] = spec["select"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = run_spec(many, spec)
+        parts = result.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(parts) == 40_000 and max(parts) < 15_000
+
+
 @pytest.mark.parametrize("written", ["SUM(bid_price)", "sum(bid_price)"])
 def test_order_by_an_aggregate_that_is_not_selected(small, written):
     spec = {"select": ["publisher_id"], "group_by": ["publisher_id"], "where": [IMPRESSIONS],

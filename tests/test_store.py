@@ -56,7 +56,8 @@ def test_prepare_from_csv(spark, events, tmp_path):
 
 
 def test_decimal_prices_give_the_same_tables(spark, events, tmp_path):
-    raw_ad_events(spark, SF_DIR).write.option("header", True).csv(f"{tmp_path}/in/events_part_0.csv")
+    raw = raw_ad_events(spark, SF_DIR)
+    raw.write.option("header", True).csv(f"{tmp_path}/in/events_part_0.csv")
     built = prepare(spark, f"{tmp_path}/in", f"{tmp_path}/out", price_type="decimal(18,6)")
     for name in ("agg_country_impressions", "agg_country_purchases", "agg_impressions_summary"):
         same_rows(built.rollup(name), rollup(events, name))
