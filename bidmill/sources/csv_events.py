@@ -15,7 +15,8 @@ def read_raw_events(spark: SparkSession, path: str, by_name: bool = False) -> Da
     """All raw columns as text from the CSV files at ``path`` (a folder or a glob).
 
     Columns are taken by position unless ``by_name`` is set; then each file's own header
-    decides, and columns a file lacks are NULL. A row of the wrong width fails the job.
+    decides, and columns a file lacks are NULL; finding the headers takes one more pass over
+    the text. A row of the wrong width fails the job.
     """
     if not by_name:
         return _reader(spark).schema(RAW_SCHEMA).csv(path)
