@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidmill.llm import decontaminate, language_id
+from bidmill.llm import decontaminate, language_id, pieces, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +24,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_passages(docs, _table(spark, sf_dir, "benchmark")).drop("text"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model).drop("text")
+
+
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_language_id": op3_language_id, "op5_decontaminate": op5_decontaminate}
+    return {"op3_language_id": op3_language_id, "op5_decontaminate": op5_decontaminate, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
