@@ -32,6 +32,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def hash_limit(share: float) -> int:
+    """The 64-bit hash up to which the given share of evenly spread hashes lies."""
+    return min((1 << 63) - 1, int(min(1.0, share) * (1 << 64)) - (1 << 63))
+
+
 def as_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from bidmill.llm.common import unused
+from bidmill.llm.common import hash_limit, unused
 
 UNKNOWN = "und"
 SEGMENT = 512
@@ -69,8 +69,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
         return LanguageModel([], {}, 3, [], [])
     limit = F.lit(None).cast("long")
     for name, n in counts.items():
-        share = min(1.0, 2 * sample_docs / max(1, n) + 8 / max(1, n))
-        limit = F.when(F.col("lang") == name, F.lit(int(share * ((1 << 64) - 1)) - (1 << 63))).otherwise(limit)
+        share = (2 * sample_docs + 8) / max(1, n)
+        limit = F.when(F.col("lang") == name, F.lit(hash_limit(share))).otherwise(limit)
     rows = known.where(F.col("hash") <= limit).groupBy("lang", "hash").agg(F.min("part").alias("part")).collect()
     parts: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.hash)):

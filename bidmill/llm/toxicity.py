@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
+from bidmill.llm.common import hash_limit
+
 #: Bound of the labelled sample, and the documents of it that a feature must be in.
 SAMPLE_ROWS = 10_000
 LEAST_DOCS = 3
@@ -123,8 +125,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     grade = F.when(F.col("toxic") == 1, TOXIC).when(F.col("quality") == 0, 1).otherwise(0)
     graded = labels.where("doc_id is not null and toxic is not null and quality is not null").select("doc_id", grade.alias("grade"))
     n = graded.count()
-    share = min(1.0, sample_rows / max(1, n))
-    chosen = F.xxhash64(F.col("doc_id").cast("long"), F.lit(7)) <= F.lit(int(share * ((1 << 64) - 1)) - (1 << 63))
+    share = sample_rows / max(1, n)
+    chosen = F.xxhash64(F.col("doc_id").cast("long"), F.lit(7)) <= F.lit(hash_limit(share))
     picked = graded.where(chosen).groupBy("doc_id").agg(F.max("grade").alias("grade"))
     rows = docs.select("doc_id", "text").where(chosen).join(picked, "doc_id").select("text", "grade")
     found = _featured(rows).collect()
