@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.checks.workspace import new_folder
-from bidmill.llm import decontaminate, language_id, minhash, pieces, top_k, toxicity, url_lists, warc
+from bidmill.llm import decontaminate, language_id, line_dedup, minhash, pieces, top_k, toxicity, url_lists, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.repeats(_table(spark, sf_dir, "documents")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
@@ -64,4 +68,4 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op3_language_id": op3_language_id, "op4_minhash": op4_minhash, "op5_decontaminate": op5_decontaminate, "op7_top_k": op7_top_k, "op8_url_lists": op8_url_lists, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
+    return {"op1_warc": op1_warc, "op2_line_dedup": op2_line_dedup, "op3_language_id": op3_language_id, "op4_minhash": op4_minhash, "op5_decontaminate": op5_decontaminate, "op7_top_k": op7_top_k, "op8_url_lists": op8_url_lists, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
