@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.checks.workspace import new_folder
-from bidmill.llm import decontaminate, language_id, line_dedup, minhash, pieces, top_k, toxicity, url_lists, warc
+from bidmill.llm import decontaminate, language_id, line_dedup, minhash, pieces, substrings, top_k, toxicity, url_lists, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_passages(docs, _table(spark, sf_dir, "benchmark")).drop("text"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.repeated(_table(spark, sf_dir, "documents")))
+
+
 def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", top_k.whole_numbers(F.col("embedding")).alias("v"))
     return top_k.search(vectors, F.col("vec_id") % 100 == 0)
@@ -68,4 +72,4 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_line_dedup": op2_line_dedup, "op3_language_id": op3_language_id, "op4_minhash": op4_minhash, "op5_decontaminate": op5_decontaminate, "op7_top_k": op7_top_k, "op8_url_lists": op8_url_lists, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
+    return {"op1_warc": op1_warc, "op2_line_dedup": op2_line_dedup, "op3_language_id": op3_language_id, "op4_minhash": op4_minhash, "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_top_k": op7_top_k, "op8_url_lists": op8_url_lists, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
