@@ -8,8 +8,9 @@ sets. Components come from alternating large-star and small-star.
 
 No bucket emits all its pairs. First each bucket is compared with one central member, that which
 shares the most with others; this joins nearly all of a large group. Then only members of one
-bucket that are still in different components are compared, inside of the join's condition by size
-and signature. So every pair of a bucket is either in one component already or is compared.
+bucket that are still in different components are compared, and only if what both have in common with
+the central member does not rule a link out (`_apart`). So every pair of a bucket is either in one component
+already, or ruled out exactly, or compared.
 
 With 24 bands of 4 rows a pair of similarity 0.85 shares no band with probability 2e-8, one of 0.8 with 3e-6.
 
@@ -189,20 +190,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     # Every bucket against its most connected member.
     weighted = shared.join(known.select("node", "weight"), "node")
     centre = weighted.groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
-    star = shared.join(stored(spark, centre, "centres"), "bucket").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    centres = stored(spark, centre, "centres")
+    star = shared.join(centres, "bucket").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     a, b = traits.alias("a"), traits.alias("b")
     star = star.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, (F.col("p.b") == F.col("b.node")) & rule.may_link("a", "b"))
     found = stored(spark, rule.links(stored(spark, star.select("p.a", "p.b"), "pairs"), sets), "found")
     groups = components(found)
 
-    # What is in one bucket, but not yet in one component.
-    placed = shared.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    placed = stored(spark, placed, "placed")
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    apart = placed.join(stored(spark, open_, "open"), "bucket").join(traits, "node")
-    apart = stored(spark, apart.select("bucket", "node", "component", "n_shingles", "sketch"), "apart")
-    met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") < F.col("b.component")) & rule.may_link("a", "b")
-    rest = apart.alias("a").join(apart.alias("b"), met).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    rest = _apart(shared, centres, groups, traits, sets, rule)
     more = stored(spark, rule.links(stored(spark, rest, "pairs"), sets), "found")
     if not more.isEmpty():
         groups = components(found.unionAll(more))
@@ -219,6 +214,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     )
 
 
+def _apart(shared: DataFrame, centres: DataFrame, groups: DataFrame, traits: DataFrame, sets: DataFrame, rule: _Rule) -> DataFrame:
+    """Candidates (a, b) of one bucket that are not yet in one component, from exact bounds.
+
+    Let p be the centre of the bucket. Of a linked pair u, v at least one, say u, is outside of p's
+    component, and the intersection must have at least `need` shingles, which follows from both sizes. It
+    has at most min(|u & p|, |v & p|) shingles of p. So either `need` is not above that, which few sizes
+    of v allow, or u and v share shingles that p lacks. The first are met by classes of size, the
+    second by shingles (as many as a prefix in a fixed order must have, so that sharing is seen).
+    """
+    spark, percent = shared.sparkSession, rule.percent
+    placed = shared.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    placed = stored(spark, placed, "placed")
+    mixed_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    named = centres.join(mixed_, "bucket").join(groups.select(F.col("node").alias("centre"), "component"), "centre", "left")
+    named = stored(spark, named.select("bucket", "centre", F.coalesce("component", "centre").alias("home")), "open")
+    inside = placed.join(named, "bucket").select("bucket", "node", "component", "centre", (F.col("component") != F.col("home")).alias("outside"))
+    inside = stored(spark, inside, "inside")
+    met = inside.select("node", "centre").distinct().join(sets.select("node", F.col("shingles").alias("x")), "node")
+    met = met.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("y")), "centre")
+    own = F.array_except("x", "y")
+    overlap = met.select("node", "centre", F.size("x").alias("n"), own.alias("own"))
+    overlap = stored(spark, overlap.withColumn("common", F.col("n") - F.size("own")), "overlaps")
+    known = overlap.join(traits.select("node", "sketch"), "node")
+
+    def apart(kept: Column) -> Column:
+        sketches = _agreeing(F.col("a.sketch"), F.col("b.sketch")) >= rule.least
+        sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+        return (F.col("a.component") != F.col("b.component")) & sizes & kept & sketches
+
+    need = (F.col("a.n") + F.col("b.n")) * percent  # times 100 + percent
+    pair = [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
+
+    # All of `need` within the centre: only nodes that mostly lie in it, and partners not above a size.
+    known_in = known.where(F.col("common") * 100 >= F.col("n") * percent).drop("own")
+    near = stored(spark, inside.join(known_in, ["node", "centre"]).drop("centre"), "near")
+    most = F.col("common") * (100 + percent) / percent - F.col("n")
+    first, last = _size_class(F.col("n") * percent / 100), _size_class(F.least(most, F.col("n") * 100 / percent))
+    asking = near.where("outside").withColumn("class", F.explode(F.sequence(first, F.greatest(first, last))))
+    fits = need <= F.least("a.common", "b.common") * (100 + percent)
+    by_size = asking.alias("a").join(
+        near.withColumn("class", _size_class(F.col("n"))).alias("b"),
+        (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class") == F.col("b.class")) & apart(fits),
+    )
+    # The others share shingles that the centre lacks, at least as many as are missing.
+    missing = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100).cast("int") - F.col("common"))
+    prefix = F.slice(F.array_sort("own"), 1, F.greatest(F.lit(0), F.size("own") - missing + 1))
+    of_centre = inside.select("node", "centre", "component", "outside").distinct()
+    lacking = known.withColumn("shingle", F.explode(prefix)).withColumn("extra", F.size("own")).drop("own")
+    lacking = stored(spark, lacking.join(of_centre, ["node", "centre"]), "lacking")
+    enough = need <= (F.least("a.common", "b.common") + F.least("a.extra", "b.extra")) * (100 + percent)
+    by_shingle = lacking.where("outside").alias("a").join(
+        lacking.alias("b"), (F.col("a.centre") == F.col("b.centre")) & (F.col("a.shingle") == F.col("b.shingle")) & apart(enough)
+    )
+    return by_size.select(pair).unionAll(by_shingle.select(pair)).distinct()
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(F.greatest(n.cast("double"), F.lit(1.0))) * 50).cast("int")
+
+
 def _row_key(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.xxhash64(text, F.lit(1)).alias("mark")]
 
