@@ -73,29 +73,34 @@ def _keys(lines: DataFrame, segments: int, threshold: int) -> DataFrame:
     """(lid, role, bucket) for each index and probe key of the lines (lid, line)."""
     profiles = _profiles(segments, threshold)
     numbers = {tuple(p[2]): i for i, p in enumerate(profiles)}
-    literal = F.array(*[
-        F.struct(F.lit(role).alias("role"), F.lit(longer).alias("longer"), F.lit(numbers[tuple(free)]).alias("number"),
-                 F.array(*map(F.lit, free)).alias("free"), F.array(*map(F.lit, moved)).alias("moved"))
-        for role, longer, free, moved in profiles
-    ])
-    size = F.char_length("line")
+    size, line = F.col("size"), F.col("line")
 
-    def key(p: Column) -> Column:
-        length = size - p["longer"]
-        cut = [F.expr("0"), *[(p["free"][i] + 1) * length for i in range(threshold)]]  # ends of free segments, times segments
+    def key(role, longer, number, free, moved) -> Column:
+        length = size - longer
         runs = []
         for i in range(threshold + 1):
-            start = F.floor(cut[i] / segments) if i else F.lit(0)
-            end = F.floor(p["free"][i] * length / segments) if i < threshold else length
-            at = start + p["moved"][i]
-            runs.append(F.when((at >= 0) & (at + end - start <= size), F.substring(F.col("line"), (at + 1).cast("int"), (end - start).cast("int"))))
-        whole = F.xxhash64(length, F.lit(segments), p["number"], *runs)
-        fits = runs[0].isNotNull() & runs[-1].isNotNull()
+            start = F.floor((free[i - 1] + 1) * length / segments).cast("int") if i else F.lit(0)
+            end = F.floor(free[i] * length / segments).cast("int") if i < threshold else length
+            run = F.substring(line, start + moved[i] + 1, end - start)
+            if i in (0, threshold):  # aligned with the ends of the line
+                runs.append(run)
+            else:
+                runs.append(F.when((start + moved[i] >= 0) & (end + moved[i] <= size), run))
+        fits = F.lit(True)
         for run in runs[1:-1]:
             fits &= run.isNotNull()
-        return F.struct(p["role"].alias("role"), F.when(fits, whole).alias("bucket"))
-
-    keyed = lines.select("lid", F.explode(F.transform(literal, key)).alias("k"))
+        return F.struct(F.lit(role).alias("role") if isinstance(role, int) else role.alias("role"), F.when(fits, F.xxhash64(length, F.lit(segments), number, *runs)).alias("bucket"))
+
+    if len(profiles) <= 64:
+        made = F.array(*[key(role, longer, F.lit(numbers[tuple(free)]), free, moved) for role, longer, free, moved in profiles])
+    else:
+        literal = F.array(*[
+            F.struct(F.lit(role).alias("role"), F.lit(longer).alias("longer"), F.lit(numbers[tuple(free)]).alias("number"),
+                     F.array(*map(F.lit, free)).alias("free"), F.array(*map(F.lit, moved)).alias("moved"))
+            for role, longer, free, moved in profiles
+        ])
+        made = F.transform(literal, lambda p: key(p["role"], p["longer"], p["number"], p["free"], p["moved"]))
+    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(made).alias("k"))
     return keyed.select("lid", "k.role", "k.bucket").where("bucket is not null")
 
 
@@ -238,7 +243,7 @@ def matches(lines: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, Da
     more_pairs, crowded = _split(more)
     pairs = pairs.unionAll(more_pairs)
     left = stored(spark, finer.join(stored(spark, crowded, "crowded"), "lid"), "finest")
-    links = spark.createDataFrame([], "a binary, b binary")
+    links = pairs.where("false")
     if not left.isEmpty():
         if threshold == 1:
             links = _one_edit(left)
