@@ -1,5 +1,55 @@
-"""SQL that gives the rows of the query of the same name, where SQL can express it."""
+"""SQL that gives the rows of the query of the same name, where SQL can express it.
+
+The other queries are tested against brute force, exact round trips or held-out accuracy.
+"""
+
+_WARC = """
+WITH d AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+_URL_LISTS = r"""
+WITH p AS (
+  SELECT page_id, url, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path,
+    CAST(DATE '2024-01-01' + CAST(page_id * 37 % 366 AS INTEGER) AS DATE) AS fetched_on FROM pages
+), e AS (
+  SELECT lower(CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]+\.', '') ELSE host || path END) AS rule,
+    CASE WHEN page_id % 2 = 0 THEN 2 WHEN page_id % 7 < 4 THEN 0 ELSE 1 END AS rank,
+    CAST(DATE '2024-01-01' + CAST(page_id * 53 % 366 AS INTEGER) AS DATE) AS listed_on FROM p WHERE page_id % 5 = 0
+), daily AS (
+  SELECT rule, listed_on, max(rank) AS rank FROM e GROUP BY 1, 2
+), holds AS (
+  SELECT *, lead(listed_on) OVER (PARTITION BY rule ORDER BY listed_on) AS until FROM daily
+), met AS (
+  SELECT page_id, rule, rank, listed_on, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS n
+  FROM p JOIN holds ON rank > 0 AND listed_on <= fetched_on AND (until IS NULL OR fetched_on < until)
+    AND (rule = host OR rule = host || path OR ends_with(host, '.' || rule))
+)
+SELECT p.page_id, url, fetched_on, coalesce(rank = 2, FALSE) AS blocked, rule, listed_on
+FROM p LEFT JOIN met ON met.page_id = p.page_id AND n = 1
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc": _WARC, "op7_top_k": _TOP_K, "op8_url_lists": _URL_LISTS}
