@@ -4,10 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from bidmill.checks.oracle import oracle_sql
+from bidmill.checks.queries import queries
 from conftest import SF_DIR
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = queries()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
