@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
 def _apart(shared: DataFrame, centres: DataFrame, groups: DataFrame, traits: DataFrame, sets: DataFrame, rule: _Rule) -> DataFrame:
     """Candidates (a, b) of one bucket that are not yet in one component, from exact bounds.
 
-    Let p be the centre of the bucket. Of a linked pair u, v at least one, say u, is outside of p's
+    Let p be the centre of the bucket, with all shingles that an eighth of its bucket mates share. Of a linked pair u, v at least one, say u, is outside of p's
     component, and the intersection must have at least `need` shingles, which follows from both sizes. It
     has at most min(|u & p|, |v & p|) shingles of p. So either `need` is not above that, which few sizes
     of v allow, or u and v share shingles that p lacks. The first are met by classes of size, the
@@ -235,6 +235,13 @@ def _apart(shared: DataFrame, centres: DataFrame, groups: DataFrame, traits: Dat
     met = met.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("y")), "centre")
     own = F.array_except("x", "y")
     overlap = met.select("node", "centre", F.size("x").alias("n"), own.alias("own"))
+    overlap = stored(spark, overlap, "overlaps")
+    # p may be any set: it gets the shingles that many of its bucket mates share and it lacks.
+    extra = overlap.select("centre", F.explode("own").alias("shingle")).groupBy("centre", "shingle").agg(F.count("*").alias("n"))
+    sizes = overlap.groupBy("centre").agg(F.count("*").alias("size"))
+    usual = extra.join(stored(spark, sizes, "sizes"), "centre").where("n >= 4 and n * 8 >= size").groupBy("centre").agg(F.collect_list("shingle").alias("usual"))
+    overlap = overlap.join(stored(spark, usual, "usual"), "centre", "left")
+    overlap = overlap.withColumn("own", F.when(F.col("usual").isNull(), F.col("own")).otherwise(F.array_except("own", "usual"))).drop("usual")
     overlap = stored(spark, overlap.withColumn("common", F.col("n") - F.size("own")), "overlaps")
     known = overlap.join(traits.select("node", "sketch"), "node")
 
