@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 # The JVM reads '12d', '0x1p3' or 'NaN' as numbers; plain decimal text holds no letter but e.
 _NOT_A_NUMBER = "[a-df-zA-DF-Z]"
 
+# 9999-12-31; earlier times are bounded alike.
+_LAST_MICROS = 253_402_214_400_000_000
+
 
 def lenient_double(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
@@ -24,17 +27,22 @@ def lenient_int(text: Column) -> Column:
 
 
 def strict_number(text: Column, to: str) -> Column:
-    """Text to number; empty text becomes NULL and bad text fails the job, in any ANSI mode."""
+    """Text to number; empty text becomes NULL and bad text fails the job, in any ANSI mode.
+
+    So does text with more digits behind the point than a decimal type keeps.
+    """
     given = F.nullif(text, F.lit(""))
     number = F.when(~given.rlike(_NOT_A_NUMBER), given.try_cast(to))
     bad = given.isNotNull() & number.isNull()
+    if to.startswith("decimal"):
+        bad |= given.try_cast("decimal(38,19)") != number
     return F.when(bad, F.raise_error(F.concat(F.lit("not a price: "), given))).otherwise(number)
 
 
 def epoch_millis(text: Column) -> Column:
-    """Text epoch milliseconds to an instant; bad text becomes NULL."""
+    """Text epoch milliseconds to an instant; bad text, and times beyond year 9999, become NULL."""
     micros = F.coalesce(
-        text.try_cast("bigint") * F.lit(1000),
-        F.round(lenient_double(text) * 1000).cast("bigint"),
+        F.try_multiply(text.try_cast("bigint"), F.lit(1000).cast("bigint")),
+        F.round(lenient_double(text) * 1000).try_cast("bigint"),
     )
-    return F.timestamp_micros(micros)
+    return F.timestamp_micros(F.when(F.abs(micros.cast("double")) <= _LAST_MICROS, micros))

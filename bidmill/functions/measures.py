@@ -7,19 +7,32 @@ from pyspark.sql import types as T
 
 from bidmill.schema import PRICES
 
-# Sums of doubles depend on row order, so doubles are summed as decimals of this type.
+# Sums of doubles depend on row order, so doubles are summed as decimals of this type. What it
+# cannot hold (digits beyond its scale, values beyond its range) is summed beside it, as doubles.
 EXACT_TYPE = "decimal(28,10)"
 
 
 def exact(column: str, data_type: T.DataType) -> str:
-    """A number as something that sums exactly: floats become decimals."""
+    """A number as something that sums exactly: floats become decimals, NULL where too large."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return f"cast({column} AS {EXACT_TYPE})"
+        return f"try_cast({column} AS {EXACT_TYPE})"
     return column
 
 
+def remainder(column: str, data_type: T.DataType) -> str:
+    """What ``exact`` leaves of a number, as a double: 0 for all usual prices."""
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return f"{column} - coalesce(cast({exact(column, data_type)} AS double), 0D)"
+    return f"if({column} IS NULL, NULL, 0D)"
+
+
+def total(exact_sum: str, remainder_sum: str) -> str:
+    """Both sums together; NULL if there was no value."""
+    return f"coalesce(cast({exact_sum} AS double), 0D) + {remainder_sum}"
+
+
 def mean(total: str, count: str) -> str:
-    return f"cast({total} AS double) / nullif({count}, 0)"
+    return f"({total}) / nullif({count}, 0)"
 
 
 def total_count(column: str) -> str:
@@ -28,12 +41,13 @@ def total_count(column: str) -> str:
 
 
 def first_partials(schema: T.StructType) -> list[str]:
-    """Partial measures over events: row count, and per price its count, sum, min and max."""
+    """Partial measures over events: row count, and per price its count, both sums, min and max."""
     out = ["count(1) AS n_events"]
     for price in PRICES:
         out += [
             f"count({price}) AS n_{price}",
             f"sum({exact(price, schema[price].dataType)}) AS sum_{price}",
+            f"sum({remainder(price, schema[price].dataType)}) AS rest_{price}",
             f"min({price}) AS min_{price}",
             f"max({price}) AS max_{price}",
         ]
@@ -45,6 +59,7 @@ def merged_partials() -> list[str]:
     out = [f"{total_count('n_events')} AS n_events"]
     for price in PRICES:
         out.append(f"{total_count(f'n_{price}')} AS n_{price}")
+        out.append(f"sum(rest_{price}) AS rest_{price}")
         out += [f"{f}({f}_{price}) AS {f}_{price}" for f in ("sum", "min", "max")]
     return out
 
@@ -58,7 +73,9 @@ def public_measure(name: str, priced: bool) -> str:
     if name == "n_events" and priced:
         return "n_total_price"
     if kind == "avg":
-        return mean(f"sum_{price}", f"n_{price}")
-    if kind in ("sum", "min", "max"):
+        return mean(total(f"sum_{price}", f"rest_{price}"), f"n_{price}")
+    if kind == "sum":
+        return total(name, f"rest_{price}")
+    if kind in ("min", "max"):
         return f"cast({name} AS double)"
     return name

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from bidmill.functions.measures import exact, mean
+from bidmill.functions.measures import exact, mean, remainder, total
 from bidmill.functions.timekeys import source_of
 from bidmill.operators.rollups import GLOBAL_EXTRAS, GLOBAL_STATS, Rollup
 from bidmill.schema import PRICES
@@ -68,10 +68,10 @@ def over_events(aggregate: Aggregate, schema: T.StructType) -> str:
         raise ValueError(f"{aggregate.label}: {column} is not a number")
     if name in ("STDDEV", "VARIANCE"):
         return f"{name}(cast({column} AS double))"
-    total = f"sum({exact(column, data_type)})"
-    if name == "AVG":
-        return mean(total, f"count({column})")
-    return total if isinstance(data_type, T.IntegralType) else f"cast({total} AS double)"
+    if isinstance(data_type, T.IntegralType) and name == "SUM":
+        return f"sum({column})"
+    whole = total(f"sum({exact(column, data_type)})", f"sum({remainder(column, data_type)})")
+    return mean(whole, f"count({column})") if name == "AVG" else whole
 
 
 def over_partials(aggregate: Aggregate, table: Rollup, one_row: bool = False) -> str | None:
@@ -92,11 +92,12 @@ def over_partials(aggregate: Aggregate, table: Rollup, one_row: bool = False) ->
     if column == "*":
         return count_of("n_events")
     if column in PRICES and not aggregate.distinct:
-        count, total = count_of(f"n_{column}"), merged("sum", f"sum_{column}")
+        count = count_of(f"n_{column}")
+        whole = total(merged("sum", f"sum_{column}"), merged("sum", f"rest_{column}"))
         return {
             "COUNT": count,
-            "SUM": f"cast({total} AS double)",
-            "AVG": mean(total, count),
+            "SUM": whole,
+            "AVG": mean(whole, count),
             "MIN": f"cast({merged('min', f'min_{column}')} AS double)",
             "MAX": f"cast({merged('max', f'max_{column}')} AS double)",
         }.get(name)

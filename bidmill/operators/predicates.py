@@ -1,6 +1,6 @@
 """Row conditions of a query spec as typed SQL predicates."""
 
-from datetime import date, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -56,7 +56,8 @@ def _literal(value, data_type: T.DataType, name: str) -> str:
     if isinstance(data_type, T.TimestampNTZType):
         return _naive_literal(_naive_time(value, name))
     if isinstance(data_type, T.TimestampType):
-        return f"timestamp'{_time(value, name)}'"
+        time = _time(value, name)  # without an offset it is UTC, whatever the session's zone
+        return f"timestamp'{time if time.tzinfo else time.replace(tzinfo=UTC)}'"
     if isinstance(data_type, T.StringType):
         if not isinstance(value, str):
             raise ValueError(f"{name} is text, got {value!r}")
@@ -119,7 +120,9 @@ def _implied_day_bounds(schema: T.StructType, condition: dict) -> list[str]:
     if op in _BOUNDS_BELOW:
         bounds.append(f"day >= {_midnight(min(times))}")
     if op in _BOUNDS_ABOVE:
-        bounds.append(f"day <= {_midnight(max(times) + timedelta(SPAN_DAYS[name]))}")
+        last = max(times)
+        if datetime.max - last >= timedelta(SPAN_DAYS[name]):  # else there is no later day
+            bounds.append(f"day <= {_midnight(last + timedelta(SPAN_DAYS[name]))}")
     return bounds
 
 

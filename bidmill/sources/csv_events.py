@@ -1,6 +1,8 @@
 """Raw event CSV files: scan, and typing into ad events."""
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,9 @@ def read_raw_events(spark: SparkSession, path: str, by_name: bool = False) -> Da
     """All raw columns as text from the CSV files at ``path`` (a folder or a glob).
 
     Columns are taken by position unless ``by_name`` is set; then each file's own header
-    decides, and columns a file lacks are NULL; finding the headers takes one more pass over
-    the text. A row of the wrong width fails the job.
+    decides, in any case of letters, and columns a file lacks are NULL; finding the headers
+    takes one more pass over the text. A row of the wrong width, a header that names a column
+    twice and one without any known column fail the job.
     """
     if not by_name:
         return _reader(spark).schema(RAW_SCHEMA).csv(path)
@@ -70,7 +73,14 @@ def _reader(spark: SparkSession):
 
 
 def _text_schema(header: tuple[str, ...]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in header])
+    """The columns of a header, known ones under their own names."""
+    known = {name.lower(): name for name in RAW_COLUMNS}
+    names = [known.get(name.lower(), name) for name in header]
+    if len({name.lower() for name in names}) < len(names):
+        raise ValueError(f"a header names a column twice: {header}")
+    if not set(names) & set(RAW_COLUMNS):
+        raise ValueError(f"a header has no known column: {header}")
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
@@ -86,5 +96,10 @@ def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], li
     out: dict[tuple[str, ...], list[str]] = {}
     for row in first_lines.toLocalIterator():
         header = tuple(name.strip().strip('"') for name in row["header"].split(","))
-        out.setdefault(header, []).append(row["file"])
+        out.setdefault(header, []).append(_as_path(row["file"]))
     return out
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path that a reader takes literally."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))

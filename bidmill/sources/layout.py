@@ -15,8 +15,8 @@ DATE_KEYS = ("week", "day", "month")
 
 SORT_KEYS = ("type", "day", "country", "advertiser_id")
 
-# Some 100 MB of partials at most.
-ONE_FILE_ROWS = 1_000_000
+# Rows of pre-aggregated tables in each file, some 100 MB.
+ROWS_PER_FILE = 1_000_000
 
 
 def write_by_type(events: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -61,15 +61,14 @@ def write_table(
 ) -> tuple[int, T.StructType]:
     """Write one pre-aggregated table in the given row order; its row count and file schema.
 
-    ``at_most`` is a known bound on its rows; under ``ONE_FILE_ROWS`` one task sorts them into
-    one file, which saves the sampling and the range shuffle of a distributed sort. The rows
-    are counted while they are written, not by reading them again.
+    The rows are cut into ranges of the order, about one for each ``ROWS_PER_FILE`` of the known
+    bound ``at_most`` (without a bound, as many as the session's shuffles have), and counted
+    while they are written, not by reading them again.
     """
     stored = _dates_stored(df)
-    if at_most is not None and at_most <= ONE_FILE_ROWS:
-        stored = stored.coalesce(1).sortWithinPartitions(*order) if order else stored
-    elif order:
-        stored = stored.orderBy(*order)
+    if order:
+        ranges = [] if at_most is None else [max(1, -(-at_most // ROWS_PER_FILE))]
+        stored = stored.repartitionByRange(*ranges, *order).sortWithinPartitions(*order)
     seen = Observation()
     counted = stored.observe(seen, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").parquet(path)

@@ -106,8 +106,8 @@ def test_stored_row_order(spark, store, name):
 
 
 def test_a_large_table_is_sorted_across_files(events, tmp_path, monkeypatch):
-    """Above the one-file bound the rows are range-partitioned, still in order."""
-    monkeypatch.setattr("bidmill.sources.layout.ONE_FILE_ROWS", 0)
+    """More rows than a file takes are range-partitioned, still in order."""
+    monkeypatch.setattr("bidmill.sources.layout.ROWS_PER_FILE", 100)
     spark = events.sparkSession
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
