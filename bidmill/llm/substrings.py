@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from bidmill.llm.common import as_bytes, mixed, span_hashes, stored
 
 LENGTH = 200
-PIECE = 64
+PIECE = 100
 MOST = 1000
 _CHUNK = 1 << 18
 _WINDOWS = 100_000
@@ -108,7 +108,7 @@ def _binary(column: pa.Array) -> list[bytes]:
 
 
 def _places(docs: DataFrame, length: int, piece: int) -> DataFrame:
-    """(key, mark, p, low, high, anchor, around) of docs (key, mark, text)."""
+    """(key, mark, p, anchor, around) of docs (key, mark, text)."""
 
     def run(batches):
         for whole in batches:
@@ -116,31 +116,35 @@ def _places(docs: DataFrame, length: int, piece: int) -> DataFrame:
                 batch = whole.slice(at, 256)
                 texts = _binary(batch.column(2))
                 owner, place, hashes, around = _anchored(texts, length, piece)
-                sizes = np.array([len(t) for t in texts])[owner] if len(owner) else place
                 taken = pa.array(owner)
                 arrays = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(place.astype(np.int32))]
-                arrays += [pa.array(np.maximum(place - (length - piece), 0).astype(np.int32)), pa.array(np.minimum(place + length, sizes).astype(np.int32))]
                 arrays += [pa.array(hashes.view(np.int64)), pa.array(around.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["key", "mark", "p", "low", "high", "anchor", "around"])
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "mark", "p", "anchor", "around"])
 
-    return docs.mapInArrow(run, "key long, mark long, p int, low int, high int, anchor long, around long")
+    return docs.mapInArrow(run, "key long, mark long, p int, anchor long, around long")
 
 
-def _surroundings(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(anchor, around, first, bytes) for the first place of each different surroundings."""
+def _surroundings(docs: DataFrame, wanted: DataFrame, length: int, piece: int) -> DataFrame:
+    """(anchor, around, key, mark, low, bytes) for the first place of each different surroundings.
+
+    docs has id, key, mark and text, as in the last join of `repeated`, so that both share one shuffle
+    of the texts. Documents that repeat id and text give their rows more than once.
+    """
     lists = wanted.groupBy(F.col("first.key").alias("_k"), F.col("first.mark").alias("_m")).agg(
-        F.collect_list(F.struct("anchor", "around", F.col("first.low").alias("low"), F.col("first.high").alias("high"))).alias("asked")
+        F.collect_list(F.struct("anchor", "around", F.col("first.p").alias("p"))).alias("asked")
     )
-    met = docs.join(lists, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m"))).dropDuplicates(["key", "mark"]).select("key", "mark", "text", "asked")
+    met = docs.join(lists, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m"))).select("id", "key", "mark", "text", "asked")
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 64):
                 batch = whole.slice(at, 64)
                 rows = []
-                for key, mark, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for _, key, mark, text, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     data = as_bytes(text)
-                    rows += [(a["anchor"], a["around"], key, mark, a["low"], data[a["low"] : a["high"]]) for a in asked]
+                    for a in asked:
+                        low = max(0, a["p"] - (length - piece))
+                        rows.append((a["anchor"], a["around"], key, mark, low, data[low : a["p"] + length]))
                 columns = list(zip(*rows, strict=True)) or [[]] * 6
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor", "around", "key", "mark", "low", "bytes"])
@@ -154,15 +158,15 @@ def matched(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: in
     docs and starts: where each text stands. Texts may overlap; a place is only compared with others.
     """
     counts = np.array([max(0, len(t) - length + 1) for t in texts])
-    windows = np.zeros((int(counts.sum()), length), np.uint8)
-    at = 0
-    for text, n in zip(texts, counts.tolist(), strict=True):
-        if n:
-            windows[at : at + n] = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), length)
-            at += n
     owner = np.repeat(np.arange(len(texts)), counts)
     inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
     position = np.unique((docs[owner] << 32) + starts[owner] + inside, return_inverse=True)[1]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    first = (np.cumsum([len(t) for t in texts]) - [len(t) for t in texts])[owner] + inside
+    # Windows whose hash is seen at one place only have no match; the others are put into suffix order.
+    again = _at_several_places(span_hashes(data, first, first + length), position)
+    windows = np.lib.stride_tricks.sliding_window_view(data, length)[first[again]] if len(again) else np.zeros((0, length), np.uint8)
+    whole, position = len(position), position[again]
     suffixes = np.argsort(windows.view(f"S{length}").ravel(), kind="stable")
     ordered = windows[suffixes]
     new = np.ones(len(suffixes), bool)
@@ -170,13 +174,24 @@ def matched(texts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: in
     run, where = np.cumsum(new) - 1, position[suffixes]
     # The least and greatest position before and behind each place, within a run of common prefixes.
     least, most = [_nearest(where, run), _nearest(where[::-1], _back(run))[::-1]], [-_nearest(-where, run), -_nearest(-where[::-1], _back(run))[::-1]]
-    earlier, other = np.zeros(len(where), bool), np.zeros(len(where), bool)
-    earlier[suffixes] = (least[0] < where) | (least[1] < where)
-    other[suffixes] = earlier[suffixes] | (most[0] > where) | (most[1] > where)
+    earlier, other = np.zeros(whole, bool), np.zeros(whole, bool)
+    places = again[suffixes]
+    earlier[places] = (least[0] < where) | (least[1] < where)
+    other[places] = earlier[places] | (most[0] > where) | (most[1] > where)
     cuts = np.cumsum(counts)[:-1]
     return np.split(other, cuts), np.split(earlier, cuts)
 
 
+def _at_several_places(hashes: np.ndarray, position: np.ndarray) -> np.ndarray:
+    order = np.argsort(hashes)
+    if not len(order):
+        return order
+    begins = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+    low, high = np.minimum.reduceat(position[order], begins), np.maximum.reduceat(position[order], begins)
+    sizes = np.diff(np.append(begins, len(order)))
+    return np.sort(order[np.repeat(low != high, sizes)])
+
+
 def _back(run: np.ndarray) -> np.ndarray:
     return run[-1] - run[::-1] if len(run) else run
 
@@ -204,6 +219,8 @@ def _in_suffix_order(rows: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(batch.column(n).to_pylist() for n in ("anchor", "around", "key", "mark", "low", "bytes")), strict=True):
+                if held and row[:2] == held[-1][:2]:
+                    continue  # a document that repeats id and text
                 if len(held) * length >= 2 * _WINDOWS and row[0] != held[-1][0]:
                     yield flushed(held)
                     held = []
@@ -219,7 +236,7 @@ def _in_suffix_order(rows: DataFrame, length: int) -> DataFrame:
         arrays = [pa.array([r[0] for r in held], pa.int64()), pa.array([r[1] for r in held], pa.int64()), *(pa.array(x, _PAIRS) for x in lists)]
         return pa.RecordBatch.from_arrays(arrays, ["anchor", "around", "other", "earlier"])
 
-    grouped = rows.repartition(F.col("anchor")).sortWithinPartitions("anchor")
+    grouped = rows.repartition(F.col("anchor")).sortWithinPartitions("anchor", "around")
     return grouped.mapInArrow(run, f"anchor long, around long, other {_RUNS}, earlier {_RUNS}")
 
 
@@ -235,18 +252,19 @@ def _by_digest(rows: DataFrame, length: int) -> DataFrame:
                 arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, ["anchor", "around", "key", "mark", "place", "i", "window"])
 
-    windows = stored(rows.sparkSession, rows.mapInArrow(run, "anchor long, around long, key long, mark long, place int, i int, window binary"), "windows")
+    once = rows.dropDuplicates(["anchor", "around"])
+    windows = once.mapInArrow(run, "anchor long, around long, key long, mark long, place int, i int, window binary")
     place = F.struct("key", "mark", "place")
     # Only equal windows of one anchor are compared, as in suffix order; a window has other anchors' rows too.
     seen = windows.groupBy("anchor", "window").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").drop("most")
-    met = windows.join(stored(rows.sparkSession, seen, "repeated"), ["anchor", "window"])
+    met = windows.join(seen, ["anchor", "window"])
     first = place == F.col("least")
     one = F.struct(F.col("i").alias("low"), (F.col("i") + length).alias("high"))
     return met.groupBy("anchor", "around").agg(F.collect_list(one).alias("other"), F.collect_list(F.when(~first, one)).alias("earlier"))
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, runs): each document with the runs of bytes to remove, as overlapping pairs."""
+    """(id, text, runs): each document with the runs of bytes to remove, as pairs that may overlap or pass its end."""
     spark = docs.sparkSession
     key = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
     named = docs.select(F.col(doc_id).cast("long").alias("id"), key.alias("key"), F.xxhash64(F.lit(1), F.col(text)).alias("mark"), F.col(text).alias("text"))
@@ -255,37 +273,39 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     sums = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b")).where("n > 1")
     shared = stored(spark, sums.select("anchor", (F.col("a") == F.col("b")).alias("alike")), "anchors")
     found = stored(spark, places.join(shared, "anchor"), "places")
-    place = F.struct("key", "mark", "p", "low", "high")
+    place = F.struct("key", "mark", "p")
     # Different surroundings of an anchor, each with its first place.
     kinds = found.groupBy("anchor", "around", "alike").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     kinds = stored(spark, kinds, "kinds")
     mixed_kinds = kinds.where("not alike")
     sizes = mixed_kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > MOST).drop("kinds")
     crowded = stored(spark, sizes, "crowded")
-    bytes_of = stored(spark, _surroundings(rows, mixed_kinds), "surroundings")
+    bytes_of = _surroundings(named, mixed_kinds, length, piece)
     results = _in_suffix_order(bytes_of.join(crowded, "anchor", "left_anti"), length)
     if not crowded.isEmpty():
         results = results.unionByName(_by_digest(bytes_of.join(crowded, "anchor", "left_semi"), length))
-    results = stored(spark, results, "runs").join(mixed_kinds.select("anchor", "around", "n", "first"), ["anchor", "around"])
-    whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("first.high") - F.col("first.low")).alias("high")))
+    results = results.join(mixed_kinds.select("anchor", "around", "n", "first"), ["anchor", "around"])
+    # The end is cut at that of the document later on.
+    low = F.greatest(F.lit(0), F.col("first.p") - (length - piece))
+    whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("first.p") + length - low).alias("high")))
     alike = kinds.where("alike").select("anchor", "around", whole.alias("rest"), (whole if not keep_first else F.slice(whole, 1, 0)).alias("own"), "first")
     # Surroundings that occur more than once repeat as a whole; with keep_first all but the first.
     rest = F.when(F.col("n") > 1, whole).otherwise(F.col("other"))
     own = F.col("earlier") if keep_first else rest
-    verdicts = stored(spark, alike.unionByName(results.select("anchor", "around", rest.alias("rest"), own.alias("own"), "first")), "verdicts")
+    verdicts = alike.unionByName(results.select("anchor", "around", rest.alias("rest"), own.alias("own"), "first"))
     met = found.drop("alike").join(verdicts, ["anchor", "around"])
     chosen = F.when((F.col("first.key") == F.col("key")) & (F.col("first.mark") == F.col("mark")) & (F.col("first.p") == F.col("p")), F.col("own")).otherwise(F.col("rest"))
-    runs = F.transform(chosen, lambda r: F.struct((r["low"] + F.col("low")).alias("low"), (r["high"] + F.col("low")).alias("high")))
+    begin = F.greatest(F.lit(0), F.col("p") - (length - piece))
+    runs = F.transform(chosen, lambda r: F.struct((r["low"] + begin).alias("low"), (r["high"] + begin).alias("high")))
     spans = met.select("key", "mark", runs.alias("runs")).where(F.size("runs") > 0).distinct()
     spans = spans.groupBy(F.col("key").alias("_k"), F.col("mark").alias("_m")).agg(F.flatten(F.collect_list("runs")).alias("runs"))
-    spans = stored(spark, spans, "spans")
     joined = named.join(spans, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m")), "left")
     return joined.select("id", "text", "runs")
 
 
-def _merged(runs) -> list[tuple[int, int]]:
+def _merged(runs, size: int) -> list[tuple[int, int]]:
     out: list[list[int]] = []
-    for low, high in sorted((r["low"], r["high"]) for r in runs or ()):
+    for low, high in sorted((r["low"], min(r["high"], size)) for r in runs or ()):
         if out and low <= out[-1][1]:
             out[-1][1] = max(out[-1][1], high)
         else:
@@ -302,7 +322,8 @@ def digest(found: DataFrame) -> DataFrame:
                 batch = whole.slice(at, 256)
                 out = []
                 for text, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                    data, last, kept, spans = as_bytes(text), 0, sha256(), _merged(runs)
+                    data, last, kept = as_bytes(text), 0, sha256()
+                    spans = _merged(runs, len(data))
                     for low, high in spans:
                         kept.update(data[last:low])
                         last = high
