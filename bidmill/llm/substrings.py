@@ -284,7 +284,9 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     results = _in_suffix_order(bytes_of.join(crowded, "anchor", "left_anti"), length)
     if not crowded.isEmpty():
         results = results.unionByName(_by_digest(bytes_of.join(crowded, "anchor", "left_semi"), length))
-    results = results.join(mixed_kinds.select("anchor", "around", "n", "first"), ["anchor", "around"])
+    # Surroundings that match nothing else may have no row, and still occur more than once.
+    results = mixed_kinds.select("anchor", "around", "n", "first").join(results, ["anchor", "around"], "left")
+    results = results.withColumns({c: F.coalesce(c, F.array().cast(_RUNS)) for c in ("other", "earlier")})
     # The end is cut at that of the document later on.
     low = F.greatest(F.lit(0), F.col("first.p") - (length - piece))
     whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("first.p") + length - low).alias("high")))
