@@ -236,7 +236,8 @@ def matches(lines: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, Da
     spark = lines.sparkSession
     members = _members(_keys(lines, threshold + 1, threshold))
     wanted = stored(spark, members.select("lid").distinct(), "wanted")
-    texts = stored(spark, lines.join(wanted, "lid").dropDuplicates(["lid"]), "texts")
+    # Met by shuffling at every size, so that the cost grows evenly.
+    texts = stored(spark, lines.join(wanted.hint("merge"), "lid").dropDuplicates(["lid"]), "texts")
     pairs, crowded = _split(members)
     finer = stored(spark, texts.join(stored(spark, crowded, "crowded"), "lid"), "finer")
     more = _members(_keys(finer, 8 * (threshold + 1) if threshold < 3 else 2 * (threshold + 1), threshold))
