@@ -167,7 +167,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     """(id, key, mark, n_shingles, component_id, component_key) for each document.
 
     key is the id, or a hash of the text for null ids; mark is another hash of the text. component_key is
-    the smallest key of the component, component_id its smallest id.
+    the smallest id of the component, or its smallest key if it has no ids; component_id its smallest id.
     """
     spark, rule = docs.sparkSession, _Rule(percent, words)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), *_row_key(doc_id, text), F.col(text).alias("text"))
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
 
     groups = stored(spark, groups, "groups")
     of_node = node_keys.join(groups, "node", "left").select("node", "key", "id", F.coalesce("component", "node").alias("component"))
-    least = of_node.groupBy("component").agg(F.min("id").alias("component_id"), F.min("key").alias("component_key"))
+    least = of_node.groupBy("component").agg(F.min("id").alias("component_id"), F.coalesce(F.min("id"), F.min("key")).alias("component_key"))
     of_node = stored(spark, of_node.join(least, "component").select("node", "component_id", "component_key"), "classes")
     done = signed.select("id", "key", "mark", "n_shingles", "node").join(of_node, "node", "left")
     alone = F.col("node").isNull()

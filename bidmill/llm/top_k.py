@@ -48,8 +48,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     keys = ("slot", "block", "d")
 
     def cell(queries: pa.Table, candidates: pa.Table) -> pa.Table:
+        if not queries.num_rows or not candidates.num_rows:  # a cell without one side
+            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score")})
         found = best(*_columns(queries), *_columns(candidates), k)
-        return pa.table({"query_id": found[0], "vec_id": found[1], "score": found[2]})
+        return pa.table({n: pa.array(x, pa.int64()) for n, x in zip(("query_id", "vec_id", "score"), found, strict=True)})
 
     met = asked.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(cell, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
