@@ -306,13 +306,13 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, least_chars: in
     spark = docs.sparkSession
     found = repeats(docs, threshold, least_chars).where(_goes())
     gone = found.groupBy("key", "mark").agg(F.collect_set("no").alias("_gone"))  # lines of one document
-    gone = stored(spark, gone.select(F.col("key").alias("_k"), F.col("mark").alias("_m"), "_gone"), "gone")
-    key, mark = unused(docs, "key"), unused(docs, "mark")
+    key, mark, k, m, out = (unused(docs, n) for n in ("key", "mark", "_k", "_m", "_gone"))
+    gone = stored(spark, gone.select(F.col("key").alias(k), F.col("mark").alias(m), F.col("_gone").alias(out)), "gone")
     _, key_of, mark_of = _doc_key("doc_id", "text")
-    met = docs.select("*", key_of.alias(key), mark_of.alias(mark)).join(gone, (F.col(key) == F.col("_k")) & (F.col(mark) == F.col("_m")), "left")
+    met = docs.select("*", key_of.alias(key), mark_of.alias(mark)).join(gone, (F.col(key) == F.col(k)) & (F.col(mark) == F.col(m)), "left")
     lines = F.split("text", "\n")
-    kept = F.filter(lines, lambda line, no: ~F.array_contains("_gone", no))
-    new = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    met = met.where(F.col("_gone").isNull() | (F.size("_gone") < F.size(lines)))
+    kept = F.filter(lines, lambda line, no: ~F.array_contains(out, no))
+    new = F.when(F.col(out).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    met = met.where(F.col(out).isNull() | (F.size(out) < F.size(lines)))
     columns = [new.alias("text") if c == "text" else F.char_length(new).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
     return met.select(columns)

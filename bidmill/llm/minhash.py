@@ -322,11 +322,11 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     # Rows can share the smallest key without sharing the text.
     stay = stay.groupBy("group", "alone").agg(F.min(F.struct("mark", "key", "n")).alias("one")).select("one.*", "alone")
     stay = stored(spark, stay, "stay")
-    key, mark = unused(docs, "key"), unused(docs, "mark")
+    key, mark, k, m, whole = (unused(docs, n) for n in ("key", "mark", "_k", "_m", "_all"))
     named = docs.select("*", _row_key("doc_id", "text")[0].alias(key), _row_key("doc_id", "text")[1].alias(mark))
-    stay = stay.select(F.col("key").alias("_k"), F.col("mark").alias("_m"), (F.col("alone") | (F.col("n") == 1)).alias("_all"))
-    met = named.join(stay, (F.col(key) == F.col("_k")) & F.col(mark).eqNullSafe(F.col("_m")))
-    once = met.where("_all").select(docs.columns)
-    if stay.where("not _all").isEmpty():
+    stay = stay.select(F.col("key").alias(k), F.col("mark").alias(m), (F.col("alone") | (F.col("n") == 1)).alias(whole))
+    met = named.join(stay, (F.col(key) == F.col(k)) & F.col(mark).eqNullSafe(F.col(m)))
+    once = met.where(F.col(whole)).select(docs.columns)
+    if stay.where(~F.col(whole)).isEmpty():
         return once
-    return once.unionAll(met.where("not _all").dropDuplicates([key, mark]).select(docs.columns))
+    return once.unionAll(met.where(~F.col(whole)).dropDuplicates([key, mark]).select(docs.columns))

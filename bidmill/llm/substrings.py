@@ -266,7 +266,8 @@ def _by_digest(rows: DataFrame, length: int) -> DataFrame:
 def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, runs): each document with the runs of bytes to remove, as pairs that may overlap or pass its end."""
     spark = docs.sparkSession
-    key = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    late = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62)  # behind all usual ids
+    key = F.coalesce(F.col(doc_id).cast("long"), late)
     named = docs.select(F.col(doc_id).cast("long").alias("id"), key.alias("key"), F.xxhash64(F.lit(1), F.col(text)).alias("mark"), F.col(text).alias("text"))
     rows = named.select("key", "mark", "text")
     places = _places(rows, length, piece)

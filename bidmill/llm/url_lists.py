@@ -51,7 +51,7 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_on:
     """The captures with blocked, rule and listed_on of the deciding entry."""
     spark = captures.sparkSession
     kept = [c for c in captures.columns if c.lower() not in ("blocked", "rule", "listed_on")]
-    target, day = unused(captures, "target"), unused(captures, "day")
+    target, day, t, d, best = (unused(captures, n) for n in ("target", "day", "_t", "_d", "best"))
     rows = captures.select(*kept, target_of(F.col(url)).alias(target), F.to_date(fetched_on).alias(day))
     asked = rows.select(F.col(target).alias("target"), F.col(day).alias("day")).dropna().distinct()
     # The target itself, its host, and each domain above the host.
@@ -70,6 +70,6 @@ def judge(captures: DataFrame, entries: DataFrame, url: str = "url", fetched_on:
     holds &= F.col("b.until").isNull() | (F.col("a.day") < F.col("b.until"))
     met = asked.alias("a").join(listed.alias("b"), holds).select("target", "day", "b.rule", "blocks", "listed_on")
     decided = met.groupBy("target", "day").agg(F.max(F.struct(F.length("rule").alias("size"), "rule", "listed_on", "blocks")).alias("best"))
-    verdicts = stored(spark, decided.select(F.col("target").alias("_t"), F.col("day").alias("_d"), "best"), "verdicts")
-    joined = rows.join(verdicts, (F.col(target) == F.col("_t")) & (F.col(day) == F.col("_d")), "left")
-    return joined.select(*kept, F.coalesce("best.blocks", F.lit(False)).alias("blocked"), F.col("best.rule").alias("rule"), F.col("best.listed_on").alias("listed_on"))
+    verdicts = stored(spark, decided.select(F.col("target").alias(t), F.col("day").alias(d), F.col("best").alias(best)), "verdicts")
+    joined = rows.join(verdicts, (F.col(target) == F.col(t)) & (F.col(day) == F.col(d)), "left")
+    return joined.select(*kept, F.coalesce(F.col(best)["blocks"], F.lit(False)).alias("blocked"), F.col(best)["rule"].alias("rule"), F.col(best)["listed_on"].alias("listed_on"))
