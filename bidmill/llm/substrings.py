@@ -271,16 +271,15 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     named = docs.select(F.col(doc_id).cast("long").alias("id"), key.alias("key"), F.xxhash64(F.lit(1), F.col(text)).alias("mark"), F.col(text).alias("text"))
     rows = named.select("key", "mark", "text")
     places = _places(rows, length, piece)
-    sums = places.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b")).where("n > 1")
-    shared = stored(spark, sums.select("anchor", (F.col("a") == F.col("b")).alias("alike")), "anchors")
+    shared = stored(spark, places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     found = stored(spark, places.join(shared, "anchor"), "places")
     place = F.struct("key", "mark", "p")
     # Different surroundings of an anchor, each with its first place.
-    kinds = found.groupBy("anchor", "around", "alike").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-    kinds = stored(spark, kinds, "kinds")
-    mixed_kinds = kinds.where("not alike")
-    sizes = mixed_kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > MOST).drop("kinds")
-    crowded = stored(spark, sizes, "crowded")
+    kinds = stored(spark, found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("first")), "kinds")
+    sizes = stored(spark, kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "sizes")
+    mixed_kinds = kinds.join(sizes.where("kinds > 1").select("anchor"), "anchor")
+    alike = kinds.join(sizes.where("kinds = 1").select("anchor"), "anchor")
+    crowded = sizes.where(F.col("kinds") > MOST).select("anchor")
     bytes_of = _surroundings(named, mixed_kinds, length, piece)
     results = _in_suffix_order(bytes_of.join(crowded, "anchor", "left_anti"), length)
     if not crowded.isEmpty():
@@ -291,12 +290,12 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     # The end is cut at that of the document later on.
     low = F.greatest(F.lit(0), F.col("first.p") - (length - piece))
     whole = F.array(F.struct(F.lit(0).alias("low"), (F.col("first.p") + length - low).alias("high")))
-    alike = kinds.where("alike").select("anchor", "around", whole.alias("rest"), (whole if not keep_first else F.slice(whole, 1, 0)).alias("own"), "first")
+    alike = alike.select("anchor", "around", whole.alias("rest"), (whole if not keep_first else F.slice(whole, 1, 0)).alias("own"), "first")
     # Surroundings that occur more than once repeat as a whole; with keep_first all but the first.
     rest = F.when(F.col("n") > 1, whole).otherwise(F.col("other"))
     own = F.col("earlier") if keep_first else rest
     verdicts = alike.unionByName(results.select("anchor", "around", rest.alias("rest"), own.alias("own"), "first"))
-    met = found.drop("alike").join(verdicts, ["anchor", "around"])
+    met = found.join(verdicts, ["anchor", "around"])
     chosen = F.when((F.col("first.key") == F.col("key")) & (F.col("first.mark") == F.col("mark")) & (F.col("first.p") == F.col("p")), F.col("own")).otherwise(F.col("rest"))
     begin = F.greatest(F.lit(0), F.col("p") - (length - piece))
     runs = F.transform(chosen, lambda r: F.struct((r["low"] + begin).alias("low"), (r["high"] + begin).alias("high")))
