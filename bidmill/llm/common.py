@@ -64,7 +64,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of data[start:end] for each pair, equal for equal bytes at any place.
 
     The bytes are taken in pieces, so that tables of powers stay small; spans are sorted by
-    start, and none may be longer than a piece.
+    start. Spans longer than a piece are summed over several.
     """
     values, up, down = _tables()
     out = np.empty(len(starts), np.uint64)
@@ -76,8 +76,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         while last - base >= _POWERS:  # a long span near the end: fewer spans in this piece
             upto = done + max(1, (upto - done) // 2)
             last = int(ends[done:upto].max())
-            if upto == done + 1 and last - base >= _POWERS:
-                raise ValueError("a span is longer than a piece")
+            if upto == done + 1:
+                break
+        if last - base >= _POWERS:
+            out[done:upto] = _long_hash(data[base:last])
+            done = upto
+            continue
         sums = np.zeros(last - base + 1, np.uint64)
         np.cumsum(values[data[base:last]] * down[: last - base], out=sums[1:])
         first, end = starts[done:upto] - base, ends[done:upto] - base
@@ -86,6 +90,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return out
 
 
+def _long_hash(data: np.ndarray) -> np.ndarray:
+    """The hash of all bytes as one span, from the sums of its pieces."""
+    values, _, down = _tables()
+    total = 0
+    for at in range(0, len(data), _POWERS):
+        part = data[at : at + _POWERS]
+        own = int((values[part] * down[: len(part)]).sum(dtype=np.uint64))
+        total += own * pow(_BASE, -at, 1 << 64)
+    return mixed(np.array([(total + len(data)) & _MASK], np.uint64))
+
+
 def word_spans(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of maximal runs of word bytes."""
     inside = np.zeros(len(data) + 2, np.int8)

@@ -197,3 +197,16 @@ def test_edit_distance_in_a_band(spark, tmp_path):
     for n in (1, 2, 3):
         rows = df.select(line_dedup.within(F.col("a"), F.col("b"), n).alias("w"), (F.levenshtein("x", "y") <= n).alias("l")).collect()
         assert all(x.w == x.l for x in rows)
+
+
+def test_words_longer_than_a_piece(monkeypatch):
+    from bidmill.llm import common
+
+    long = "".join(random.Random(7).choices("abcdefgh", k=5_000_000))
+    one, same, other = minhash.shingle_sets([f"a {long} b c", f"a {long} b c d", f"a {long[:-1]}z b c"], 3)
+    assert len(one) == 2 and len(same) == 3 and set(one) < set(same) and not set(one) & set(other)
+    data = np.frombuffer(long[:9000].encode(), np.uint8)
+    starts, ends = np.array([0, 5, 4000, 4001]), np.array([9, 8990, 4010, 9000])
+    whole = common.span_hashes(data, starts, ends)
+    monkeypatch.setattr(common, "_POWERS", 1 << 10)
+    assert (common.span_hashes(data, starts, ends) == whole).all()
