@@ -31,9 +31,11 @@ from bidmill.llm.common import hash_limit, unused
 UNKNOWN = "und"
 SEGMENT = 512
 LANES = 8192
-#: Bounds of the sample of each language: documents, and characters of each document.
+#: Bounds of the sample of each language: documents, and characters of each document, which are
+#: taken in SAMPLE_PARTS parts at hashed places all over the text.
 SAMPLE_DOCS = 96
 SAMPLE_CHARS = 400
+SAMPLE_PARTS = 4
 
 _BLANK = 0
 _STATE_BITS = 29
@@ -59,10 +61,12 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     """Learn from at most sample_docs different documents of each language, sample_chars of each.
 
     The documents with the smallest hashes of their text are taken. The hash is first cut off where
-    about twice as many as needed remain, so that only these leave the executors.
+    about twice as many as needed remain, so that only these leave the executors. Texts of more than
+    sample_chars characters give a part of each quarter, at a place that the hash picks: any character
+    can be in the sample.
     """
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
-        F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"), F.substring(text, 1, sample_chars).alias("part")
+        F.col(lang).alias("lang"), F.xxhash64(text).alias("hash"), _sampled(F.col(text), sample_chars).alias("parts")
     )
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
     if not counts:
@@ -71,12 +75,25 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample_do
     for name, n in counts.items():
         share = (2 * sample_docs + 8) / max(1, n)
         limit = F.when(F.col("lang") == name, F.lit(hash_limit(share))).otherwise(limit)
-    rows = known.where(F.col("hash") <= limit).groupBy("lang", "hash").agg(F.min("part").alias("part")).collect()
-    parts: dict[str, list[str]] = {}
+    rows = known.where(F.col("hash") <= limit).groupBy("lang", "hash").agg(F.min("parts").alias("parts")).collect()
+    parts: dict[str, list[list[str]]] = {}
     for row in sorted(rows, key=lambda r: (r.lang, r.hash)):
         if len(own := parts.setdefault(row.lang, [])) < sample_docs:
-            own.append(row.part)
-    return build(parts)
+            own.append(row.parts)
+    return build({name: [part for of_doc in own for part in of_doc] for name, own in parts.items()})
+
+
+def _sampled(text: Column, chars: int) -> Column:
+    """The whole text if it has at most the given characters, else an equal part of each of its stretches."""
+    size, count = F.char_length(text), min(SAMPLE_PARTS, max(1, chars))
+    parts = []
+    for k in range(count):
+        own = chars * (k + 1) // count - chars * k // count
+        first, end = F.floor(size * k / count), F.floor(size * (k + 1) / count)
+        places = F.greatest(end - first - own, F.lit(0)) + 1
+        at = first + F.pmod(F.xxhash64(text, F.lit(k)), places)
+        parts.append(F.substring(text, at.cast("int") + 1, F.lit(own)))
+    return F.when(size <= chars, F.array(text)).otherwise(F.array(*parts))
 
 
 def build(parts: dict[str, list[str]]) -> LanguageModel:

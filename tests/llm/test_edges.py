@@ -210,3 +210,16 @@ def test_words_longer_than_a_piece(monkeypatch):
     whole = common.span_hashes(data, starts, ends)
     monkeypatch.setattr(common, "_POWERS", 1 << 10)
     assert (common.span_hashes(data, starts, ends) == whole).all()
+
+
+def test_languages_are_learned_behind_a_shared_opening(spark, tmp_path):
+    r = random.Random(11)
+    words = {lang: ["".join(r.choices(letters, k=r.randrange(3, 8))) for _ in range(60)] for lang, letters in (("aa", "abcdefghi"), ("bb", "efghijklm"))}
+    opening = PROSE * 6
+    texts = [(lang, " ".join(r.choices(words[lang], k=400))) for lang in sorted(words) for _ in range(40)]
+    labelled = frame(spark, tmp_path, [(i, opening + " " + t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string", "o")
+    bare = frame(spark, tmp_path, [(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string", "p")
+    model = language_id.learn(labelled)
+    assert all(r.lang == r.lang_pred for r in language_id.predict(bare, model).collect())
+    sampled = labelled.select(language_id._sampled(F.col("text"), 400).alias("s"), "text").collect()
+    assert all(sum(map(len, r.s)) == 400 and all(part in r.text for part in r.s) for r in sampled)
