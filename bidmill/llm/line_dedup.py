@@ -35,6 +35,8 @@ THRESHOLD = 1
 LEAST_CHARS = 20
 #: Lines of a bucket, times those that index it, up to which all its pairs are candidates.
 SMALL = 400
+#: Characters of a block of a line in which the way around crowded buckets looks for one edit.
+BLOCK = 256
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str, least_chars: int) -> DataFrame:
@@ -137,19 +139,30 @@ def _one_edit(lines: DataFrame) -> DataFrame:
     one of its characters may be another line.
     """
     spark = lines.sparkSession
-    size = F.char_length("line")
-    places = F.sequence(F.lit(1), size)
-
-    def without(n: Column) -> Column:
-        return F.concat(F.substring(F.col("line"), F.lit(1), n - 1), F.substring(F.col("line"), n + 1, size))
-
-    left = lines.select("lid", F.posexplode(F.transform(places, without)).alias("no", "rest"))
-    changed = left.select("lid", F.unhex(F.md5(F.concat(F.col("no").cast("string"), F.lit(" "), "rest").cast("binary"))).alias("group"))
-    changed = stored(spark, changed, "changed")
-    least = changed.groupBy("group").agg(F.min("lid").alias("a"), F.max("lid").alias("high")).where("a <> high").drop("high")
-    same = changed.join(stored(spark, least, "least"), "group").where("a <> lid").select("a", F.col("lid").alias("b"))
-    shorter = left.select("lid", F.unhex(F.md5(F.col("rest").cast("binary"))).alias("a")).distinct()
-    found = shorter.join(lines.select(F.col("lid").alias("a")), "a", "left_semi").select("a", F.col("lid").alias("b"))
+    line = F.col("line")
+    size = F.char_length(line)
+
+    def digest(*parts: Column) -> Column:
+        return F.unhex(F.md5(F.concat_ws(" ", *parts).cast("binary")))
+
+    def blocks(size: Column, width: int) -> DataFrame:
+        """The blocks of the lines at multiples of BLOCK, and what stands before and after each."""
+        row = lines.where(size > 0).select("lid", "line", size.alias("size"), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / BLOCK).cast("int"))).alias("block"))
+        start = F.col("block") * BLOCK
+        before, after = F.md5(F.substring(line, F.lit(1), start).cast("binary")), F.md5(F.substring(line, start + width + 1, F.char_length(line)).cast("binary"))
+        return row.select("lid", F.concat_ws(" ", "size", "block", before, after).alias("around"), F.substring(line, start + 1, F.lit(width)).alias("middle"))
+
+    # A row for each place, with a key of one block's length, so that memory does not grow with the square of a line.
+    left = blocks(size, BLOCK).select("lid", "around", "middle", F.explode(F.sequence(F.lit(1), F.char_length("middle"))).alias("no"))
+    middle, no = F.col("middle"), F.col("no")
+    rest = F.concat(F.substring(middle, F.lit(1), no - 1), F.substring(middle, no + 1, F.char_length(middle)))
+    left = left.select("lid", digest(no.cast("string"), F.col("around"), rest).alias("group"), digest(F.col("around"), rest).alias("shorter"))
+    left = stored(spark, left, "changed")
+    least = left.groupBy("group").agg(F.min("lid").alias("a"), F.max("lid").alias("high")).where("a <> high").drop("high")
+    same = left.join(stored(spark, least, "least"), "group").where("a <> lid").select("a", F.col("lid").alias("b"))
+    # As if each line had one character more, which is missing in the block.
+    whole = blocks(size + 1, BLOCK - 1).select(F.col("lid").alias("a"), digest(F.col("around"), F.col("middle")).alias("shorter"))
+    found = left.select("lid", "shorter").distinct().join(stored(spark, whole, "whole"), "shorter").select("a", F.col("lid").alias("b"))
     return same.unionAll(found).distinct()
 
 

@@ -223,3 +223,42 @@ def test_languages_are_learned_behind_a_shared_opening(spark, tmp_path):
     assert all(r.lang == r.lang_pred for r in language_id.predict(bare, model).collect())
     sampled = labelled.select(language_id._sampled(F.col("text"), 400).alias("s"), "text").collect()
     assert all(sum(map(len, r.s)) == 400 and all(part in r.text for part in r.s) for r in sampled)
+
+
+def test_crowded_lines_give_the_same_in_blocks(spark, tmp_path, monkeypatch):
+    r = random.Random(9)
+    monkeypatch.setattr(line_dedup, "BLOCK", 8)
+    lines = {"".join(r.choices("ab\u00e9\U0001f600", k=33))}
+    for _ in range(60):
+        own = list(r.choice(sorted(lines)))
+        k, i = r.randrange(3), r.randrange(len(own))
+        own[i : i + (k > 0)] = [r.choice("abc ")] if k < 2 else []
+        lines.add("".join(own))
+    lines = sorted(lines | {"b", "ab", "a" * 8, "a" * 9, "a" * 16, "a" * 17})
+    rows = frame(spark, tmp_path, [(x,) for x in lines], "line string", "c").select(line_dedup._line_id(), "line")
+    links = line_dedup._one_edit(rows)
+    text = {bytes(x.lid): x.line for x in rows.collect()}
+    found = [(text[bytes(x.a)], text[bytes(x.b)]) for x in links.collect()]
+    near = frame(spark, tmp_path, [(a, b) for a in lines for b in lines if a < b], "a string, b string", "n").where(F.levenshtein("a", "b") == 1)
+    expected = {tuple(x) for x in near.collect()}
+    assert {tuple(sorted(x)) for x in found} <= expected
+
+    def classes(pairs):
+        of = {x: {x} for x in lines}
+        for a, b in pairs:
+            if of[a] is not of[b]:
+                of[a] |= of[b]
+                for x in of[b]:
+                    of[x] = of[a]
+        return {frozenset(c) for c in of.values()}
+
+    assert classes(found) == classes(expected)
+
+
+def test_long_crowded_lines_are_linked(spark, tmp_path):
+    r = random.Random(10)
+    base = "".join(r.choices("abcdefgh", k=100_000))
+    lines = [base[:50_000] + c + base[50_001:] for c in "ABCDEFGHIJKLMNOPQRSTUVWX"] + [base[:50_000] + base[50_001:]]
+    docs = frame(spark, tmp_path, list(enumerate(lines)), "doc_id long, text string", "l")
+    found = line_dedup.digest(line_dedup.repeats(docs)).collect()
+    assert len(found) == 25 and all(x.class_doc_id == 0 for x in found) and sum(x.kept for x in found) == 1
