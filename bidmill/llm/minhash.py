@@ -3,16 +3,17 @@
 Each document is the set of its distinct word shingles. Documents with equal sets are one node from
 the start. HASHES universal hash functions give a signature of minima; documents that agree on all
 ROWS minima of a band share a bucket. Candidates of a bucket are verified first on their signatures
-(a byte of each minimum; rejected five standard deviations under the threshold), then on the full
+(a byte of each minimum; rejected seven standard deviations under the threshold), then on the full
 sets. Components come from alternating large-star and small-star.
 
 No bucket emits all its pairs. First each bucket is compared with one central member, that which
 shares the most with others; this joins nearly all of a large group. Then only members of one
 bucket that are still in different components are compared, and only if what both have in common with
 the central member does not rule a link out (`_apart`). So every pair of a bucket is either in one component
-already, or ruled out exactly, or compared.
+already, or ruled out by exact bounds or by its signatures, or compared.
 
 With 24 bands of 4 rows a pair of similarity 0.85 shares no band with probability 2e-8, one of 0.8 with 3e-6.
+The signatures rule such a pair out with probability 3e-10 and 5e-11 under its own threshold, so bands rule the sum.
 
 Defined cases: null text, and text without words, is an empty set, linked with nothing. A text of
 fewer words than a shingle is one shingle. Null ids: such documents are linked by their text like
@@ -148,7 +149,7 @@ class _Rule:
     def __init__(self, percent: int, words: int):
         self.percent, self.words = percent, words
         t = percent / 100
-        self.least = int(np.floor(HASHES * t - 5 * np.sqrt(HASHES * t * (1 - t))))
+        self.least = int(np.floor(HASHES * t - 7 * np.sqrt(HASHES * t * (1 - t))))
 
     def may_link(self, a: str, b: str) -> Column:
         n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")

@@ -262,3 +262,11 @@ def test_long_crowded_lines_are_linked(spark, tmp_path):
     docs = frame(spark, tmp_path, list(enumerate(lines)), "doc_id long, text string", "l")
     found = line_dedup.digest(line_dedup.repeats(docs)).collect()
     assert len(found) == 25 and all(x.class_doc_id == 0 for x in found) and sum(x.kept for x in found) == 1
+
+
+@pytest.mark.parametrize(("percent", "bands"), [(85, 2.1e-8), (80, 3.3e-6)])
+def test_signatures_miss_less_than_bands(percent, bands):
+    from math import comb
+
+    t, least = percent / 100, minhash._Rule(percent, 3).least
+    assert sum(comb(96, i) * t**i * (1 - t) ** (96 - i) for i in range(least)) < bands / 50
