@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bidmill.checks.workspace import new_folder
-from bidmill.llm import decontaminate, language_id, line_dedup, minhash, pieces, substrings, top_k, toxicity, url_lists, warc
+from bidmill.llm import decontaminate, language_id, line_dedup, minhash, pieces, repair, simhash, spelling, substrings, top_k, toxicity, url_lists, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,5 +71,21 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(_table(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(repair.repair(repair.damaged(_table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op2_line_dedup": op2_line_dedup, "op3_language_id": op3_language_id, "op4_minhash": op4_minhash, "op5_decontaminate": op5_decontaminate, "op6_substrings": op6_substrings, "op7_top_k": op7_top_k, "op8_url_lists": op8_url_lists, "op9_toxicity": op9_toxicity, "op10_pieces": op10_pieces}
+    named = (
+        op1_warc, op2_line_dedup, op3_language_id, op4_minhash, op5_decontaminate, op6_substrings, op7_top_k,
+        op8_url_lists, op9_toxicity, op10_pieces, op11_simhash, op12_spelling, op13_repair,
+    )
+    return {query.__name__: query for query in named}

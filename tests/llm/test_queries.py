@@ -7,12 +7,13 @@ import zlib
 
 import duckdb
 import pytest
+import xxhash
 
 from bidmill.llm import oracle, queries
 from bidmill.llm.common import stored
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @pytest.fixture(scope="module")
@@ -150,6 +151,26 @@ def test_lines(documents, result):
     assert sorted(result("op2_line_dedup")) == sorted(expected)
 
 
+def test_similar_fingerprints(documents, result):
+    marks = {}
+    for doc, text, _ in documents:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        marks[doc] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    parent = {d: d for d in marks}
+
+    def root(d):
+        return d if parent[d] == d else root(parent[d])
+
+    for a in marks:
+        for b in marks:
+            if a < b and (marks[a] ^ marks[b]).bit_count() <= 2:
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    assert sorted(result("op11_simhash")) == sorted((d, f"{m:016x}", root(d)) for d, m in marks.items())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
