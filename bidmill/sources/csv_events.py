@@ -1,6 +1,7 @@
 """Raw event CSV files: scan, and typing into ad events."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -13,12 +14,16 @@ from bidmill.functions.timekeys import local_time, time_key
 from bidmill.schema import EVENT_COLUMNS, LOCAL_ZONE, RAW_COLUMNS, RAW_SCHEMA
 
 
+# Files whose first lines are read at the same time.
+_OPENED = 32
+
+
 def read_raw_events(spark: SparkSession, path: str, by_name: bool = False) -> DataFrame:
     """All raw columns as text from the CSV files at ``path`` (a folder or a glob).
 
     Columns are taken by position unless ``by_name`` is set; then each file's own header
-    decides, in any case of letters, and columns a file lacks are NULL; finding the headers
-    takes one more pass over the text. A row of the wrong width, a header that names a column
+    decides, in any case of letters, and columns a file lacks are NULL; only the first line
+    of each file is read beforehand. A row of the wrong width, a header that names a column
     twice and one without any known column fail the job.
     """
     if not by_name:
@@ -84,22 +89,32 @@ def _text_schema(header: tuple[str, ...]) -> T.StructType:
 
 
 def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """File paths by header. The driver gets one short row per file, as its file listing does."""
-    first_lines = (
-        spark.read.text(path)
-        .where("_metadata.file_block_start = 0")
-        .select("value", F.col("_metadata.file_path").alias("file"))
-        .withColumn("line", F.monotonically_increasing_id())
-        .groupBy("file")
-        .agg(F.min_by("value", "line").alias("header"))
-    )
+    """File paths by header. Of each file one line is read, as by a reader that takes names from it."""
+    files = spark.read.text(path).inputFiles()
+    with ThreadPoolExecutor(_OPENED) as pool:
+        lines = list(pool.map(lambda file: _first_line(spark, file), files))
     out: dict[tuple[str, ...], list[str]] = {}
-    for row in first_lines.toLocalIterator():
-        header = tuple(name.strip().strip('"') for name in row["header"].split(","))
-        out.setdefault(header, []).append(_as_path(row["file"]))
+    for file, line in zip(files, lines, strict=True):
+        if line is not None:
+            header = tuple(name.strip().strip('"') for name in line.split(","))
+            out.setdefault(header, []).append(_as_path(file))
     return out
 
 
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file in any file system and with any known compression."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        text = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(text, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return line and line.removeprefix("\ufeff")
+
+
 def _as_path(uri: str) -> str:
     """A file's URI as a path that a reader takes literally."""
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(uri))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.functions.timekeys import NTZ
+from bidmill.schema import EVENT_TYPES
 
 DATE_KEYS = ("week", "day", "month")
 
@@ -18,8 +19,33 @@ SORT_KEYS = ("type", "day", "country", "advertiser_id")
 # Rows of pre-aggregated tables in each file, some 100 MB.
 ROWS_PER_FILE = 1_000_000
 
+# Rows of events in each range of their order; each type of a range has its own file.
+ROWS_PER_RANGE = 4_000_000
 
-def write_by_type(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+# Ids have Bloom filters in event files: the order of the files does not help to find an id on all days.
+_ID_FILTERS = {
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.enabled#advertiser_id": "true",
+    "parquet.bloom.filter.enabled#publisher_id": "true",
+}
+
+
+def write_once(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """The frame written as it comes and read back, and its row count."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_by_type(
+    events: DataFrame, path: str, mode: str = "overwrite", rows: int | None = None
+) -> None:
     """Write events to ``path/type=...`` in the order of day, country and advertiser.
 
     Rows are range-partitioned, so each file covers a short stretch of that order and a
@@ -27,16 +53,22 @@ def write_by_type(events: DataFrame, path: str, mode: str = "overwrite") -> None
     comes last in the range key: equal keys, even whole copies of one row, may then fall
     into different ranges, and no hot group has to fit into one task. Positions repeat when
     a task is run again as long as ``events`` starts from files, not from another shuffle.
-    Events of any type are kept, NULL included.
+    Events of any type are kept, NULL included. With the number of ``rows`` known, the number of
+    ranges follows from it; otherwise it is that of the session's shuffles.
     """
+    ranges = []
+    if rows is not None:
+        at_least = min(events.sparkSession.sparkContext.defaultParallelism, -(-rows // 10_000))
+        ranges = [max(1, at_least, -(-rows // ROWS_PER_RANGE))]
     (
         _dates_stored(events)
         .withColumn("_position", F.monotonically_increasing_id())
-        .repartitionByRange(*SORT_KEYS, "_position")
+        .repartitionByRange(*ranges, *SORT_KEYS, "_position")
         .sortWithinPartitions(*SORT_KEYS)
         .drop("_position")
         .write.mode(mode)
         .option("partitionOverwriteMode", "static")  # no folder of an earlier write survives
+        .options(**_ID_FILTERS)
         .partitionBy("type")
         .parquet(path)
     )
@@ -58,8 +90,9 @@ def read_by_type(spark: SparkSession, path: str, event_type: str | None = None)
 
 def write_table(
     df: DataFrame, path: str, order: list, at_most: int | None = None
-) -> tuple[int, T.StructType]:
-    """Write one pre-aggregated table in the given row order; its row count and file schema.
+) -> tuple[int, dict[str, int], T.StructType]:
+    """Write one pre-aggregated table in the given row order; its row count, its rows of each
+    known event type (if it tells types apart), and its file schema.
 
     The rows are cut into ranges of the order, about one for each ``ROWS_PER_FILE`` of the known
     bound ``at_most`` (without a bound, as many as the session's shuffles have), and counted
@@ -70,9 +103,11 @@ def write_table(
         ranges = [] if at_most is None else [max(1, -(-at_most // ROWS_PER_FILE))]
         stored = stored.repartitionByRange(*ranges, *order).sortWithinPartitions(*order)
     seen = Observation()
-    counted = stored.observe(seen, F.count(F.lit(1)).alias("rows"))
+    kinds = EVENT_TYPES if "type" in df.columns else ()
+    typed = [F.count(F.when(F.col("type") == kind, 1)).alias(kind) for kind in kinds]
+    counted = stored.observe(seen, F.count(F.lit(1)).alias("rows"), *typed)
     counted.write.mode("overwrite").parquet(path)
-    return seen.get["rows"], stored.schema
+    return seen.get["rows"], {kind: seen.get[kind] for kind in kinds}, stored.schema
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
