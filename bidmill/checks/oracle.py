@@ -215,6 +215,92 @@ def _manifest() -> str:
     return " UNION ALL ".join(parts)
 
 
+# Result files: keys, measure and order of each spec.
+_FILES = {
+    "q01": ("", "COUNT(*)", ""),
+    "q02": ("", "COUNT(*)", ""),
+    "q03": ("publisher_id", "COUNT(*)", "\"COUNT(*)\" DESC, publisher_id"),
+    "q04": ("minute", "sum(bid_price)", "minute"),
+    "q05": ("minute", "sum(bid_price)", "minute"),
+    "q06": ("", "sum(bid_price)", ""),
+    "q07": ("", "COUNT(*)", ""),
+    "q08": ("advertiser_id", "sum(bid_price)", "advertiser_id"),
+    "q09": ("country", "COUNT(*)", "country"),
+    "q10": ("country", "sum(total_price)", "country"),
+    "q11": ("advertiser_id country", "avg(total_price)", "advertiser_id, country"),
+    "q12": ("week", "sum(bid_price)", "week"),
+    "q13": ("day", "COUNT(*)", "day"),
+    "q14": ("country", "COUNT(*)", "country"),
+    "q15": ("publisher_id", "", "publisher_id"),
+}
+_TIME_TEXT = {"minute": "%Y-%m-%d %H:%M", "day": "%Y-%m-%d", "week": "%Y-%m-%d"}
+
+
+def _result_file(number: int, name: str) -> str:
+    keys, value, order = _FILES[name]
+    texts = [f"strftime({k}, '{_TIME_TEXT[k]}')" if k in _TIME_TEXT else f"CAST({k} AS VARCHAR)" for k in keys.split()]
+    texts += ["CAST(NULL AS VARCHAR)"] * (2 - len(texts))
+    place = f"row_number() OVER ({'ORDER BY ' + order if order else ''})"
+    measure = f'CAST("{value}" AS DOUBLE)' if value else "CAST(NULL AS DOUBLE)"
+    return (
+        f"SELECT CAST({number} AS INTEGER) AS query, CAST({place} AS INTEGER) AS place, "
+        f"{texts[0]} AS key_1, {texts[1]} AS key_2, {measure} AS value FROM ({_SPECS[name]})"
+    )
+
+
+# Keys of the tables that others are merged from, and what else tells their rows apart.
+_BASE_KEYS = {
+    "base_advertiser_country_hour": "type, day, country, advertiser_id, hour",
+    "base_publisher_country_hour": "type, day, country, publisher_id, hour",
+    "base_minute": "type, day, hour, minute",
+    "sets_advertiser": "type, day, country, CASE WHEN advertiser_id > 0 THEN 1 + (advertiser_id - 1) // 32768 ELSE advertiser_id // 32768 END",
+    "sets_publisher": "type, day, country, CASE WHEN publisher_id > 0 THEN 1 + (publisher_id - 1) // 32768 ELSE publisher_id // 32768 END",
+}
+
+
+def _base_count(name: str) -> str:
+    counts = ", ".join(f"COUNT(*) FILTER (type = '{t}') AS {t}" for t in ("impression", "click", "purchase", "serve"))
+    return (
+        f"SELECT '{name.split('_')[0]}' AS kind, '{name}' AS name, COUNT(*) AS rows, {counts} "
+        f"FROM (SELECT DISTINCT {_BASE_KEYS[name]} FROM ad)"
+    )
+
+
+# The event type and the columns that each spec needs, written out from its SQL.
+_NEEDS = {
+    "q01": (_IMPRESSION, "day"),
+    "q02": (_IMPRESSION, "country day"),
+    "q03": (_CLICK, "publisher_id day"),
+    "q04": (_IMPRESSION, "minute day"),
+    "q05": (_IMPRESSION, "minute day"),
+    "q06": (_IMPRESSION, ""),
+    "q07": ("type = 'purchase'", "advertiser_id"),
+    "q08": (_IMPRESSION, "advertiser_id"),
+    "q09": (_IMPRESSION, "country"),
+    "q10": ("type = 'purchase'", "country"),
+    "q11": ("type = 'purchase'", "advertiser_id country day"),
+    "q12": (_IMPRESSION, "week day"),
+    "q13": (_CLICK, "day country"),
+    "q14": (_CLICK, "country"),
+    "q15": (_IMPRESSION, "publisher_id country day"),
+}
+_COARSER = {"day": ("day", "hour", "minute"), "week": ("week", "day", "hour", "minute"), "minute": ("minute",)}
+
+
+def _covered(spec: str, table: str) -> bool:
+    """A table covers a spec if it holds its type and, as fine or finer, each of its columns."""
+    where, keys, _ = _ROLLUPS[table]
+    kept = keys.split(", ") if keys else []
+    kind, needs = _NEEDS[spec]
+    same_type = where.split(" AND ")[0] == kind or (where == _ANY and "type" in kept)
+    return same_type and all(set(_COARSER.get(n, (n,))) & set(kept) for n in needs.split())
+
+
+def _cover_matrix() -> str:
+    rows = [f"('{s}', '{t}', {_covered(s, t)})" for s in _NEEDS for t in _ROLLUPS]
+    return f"SELECT * FROM (VALUES {', '.join(rows)}) AS m(spec, table_name, covered)"
+
+
 def oracle_sql() -> dict[str, str]:
     bodies = {f"rollup_{name}": _rollup(name) for name in _ROLLUPS}
     for name, sql in _SPECS.items():
@@ -240,6 +326,26 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT country, day, {_SB}, {_N} FROM ad WHERE {_IMPRESSION} AND {_DAY} "
             "GROUP BY country, day",
         "manifest_counts": _manifest(),
+        "prepare_rollups": " UNION ALL ".join(_long_rollup(name) for name in _ROLLUPS),
+        "batch_results": " UNION ALL ".join(
+            _result_file(i, name) for i, name in enumerate(_SPECS, 1)
+        ),
+        "cover_matrix": _cover_matrix(),
+        "manifest_bases": " UNION ALL ".join(map(_base_count, _BASE_KEYS)),
+        **{
+            f"distinct_by_{key}":
+                f'SELECT {key}, COUNT(DISTINCT advertiser_id) AS "count(DISTINCT advertiser_id)", '
+                f"{_COUNT} FROM ad GROUP BY {key}"
+            for key in ("day", "week", "country")
+        },
+        "approx_distinct_close":
+            "SELECT country, COUNT(DISTINCT publisher_id) AS exact, TRUE AS close "
+            "FROM ad GROUP BY country",
+        "answer_spread":
+            f"SELECT country, {_AGGREGATES['stddev']}, {_AGGREGATES['variance']} FROM ad "
+            f"WHERE {_IMPRESSION} GROUP BY country",
+        "ingest_csv_capitals":
+            f"SELECT * REPLACE (CASE WHEN type = 'serve' THEN NULL ELSE type END AS type) FROM ({_ALL_TYPED})",
         "format_times":
             "SELECT strftime(minute, '%Y-%m-%d %H:%M') AS minute, "
             "strftime(hour, '%Y-%m-%d %H:%M:%S') AS hour, strftime(day, '%Y-%m-%d') AS day, "

@@ -5,14 +5,16 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from bidmill.checks.specs import SPECS
 from bidmill.checks.workspace import new_folder, store
 from bidmill.operators.rollups import ROLLUPS, rollup
-from bidmill.operators.spec import run_spec
-from bidmill.plans.answer import answer
+from bidmill.operators.spec import Spec, run_spec
+from bidmill.plans.answer import answer, answer_from_rollup, rollup_covers
 from bidmill.plans.batch import format_times, run_batch, write_result
-from bidmill.plans.store import read_manifest, read_rollup
+from bidmill.plans.store import prepare, read_manifest, read_rollup
+from bidmill.schema import EVENT_TYPES
 from bidmill.sources.csv_events import clean_events, read_raw_events
 from bidmill.sources.layout import read_by_type
 from bidmill.sources.tables import ad_events, raw_ad_events
@@ -98,8 +100,11 @@ def _answered(spec: dict) -> Query:
 
 
 def _stored_rollups(spark, sf_dir):
+    return _long_rollups(spark, store(spark, sf_dir).path)
+
+
+def _long_rollups(spark: SparkSession, path: str) -> DataFrame:
     """All 51 stored tables in one long table: keys as text, measures side by side."""
-    path = store(spark, sf_dir).path
     parts = []
     for table in ROLLUPS:
         rows = read_rollup(spark, path, table.name)
@@ -125,7 +130,8 @@ def _filtered_rollup(spark, sf_dir):
 
 def _manifest_counts(spark, sf_dir):
     manifest = read_manifest(spark, store(spark, sf_dir).path)
-    return manifest.where(F.col("kind") != "base").select("kind", "name", "type", "rows")
+    known = manifest.where(F.col("kind").isin("events", "type", "rollup"))
+    return known.select("kind", "name", "type", "rows")
 
 
 def _formatted_times(spark, sf_dir):
@@ -147,6 +153,91 @@ def _batch_records(spark, sf_dir):
     return records.select("query", "rows", "status")
 
 
+def _prepared_rollups(spark, sf_dir):
+    """All 51 tables of a store that was prepared from CSV files, with double prices."""
+    folder, out = new_folder(spark, "csv"), new_folder(spark, "store")
+    raw = raw_ad_events(spark, sf_dir).repartition(4)
+    raw.write.option("header", True).csv(f"{folder}/events_part_0.csv")
+    return _long_rollups(spark, prepare(spark, folder, out).path)
+
+
+def _batch_results(spark, sf_dir):
+    """All result files of a batch, row by row in their order: keys as text, and the measure."""
+    out = new_folder(spark, "batch")
+    run_batch(store(spark, sf_dir), SPECS.values(), out)
+    parts = []
+    for number, spec in enumerate(SPECS.values(), 1):
+        spec = Spec.of(spec)
+        names = [item if isinstance(item, str) else item.label for item in spec.select]
+        schema = ", ".join(f"`{n}` {'double' if '(' in n else 'string'}" for n in names)
+        rows = spark.read.schema(schema).option("header", True).csv(f"{out}/q{number}")
+        keys = [F.col(n) for n in names if "(" not in n]
+        keys += [F.lit(None).cast("string")] * (2 - len(keys))
+        value = next((F.col(f"`{n}`") for n in names if "(" in n), F.lit(None).cast("double"))
+        columns = [k.alias(f"key_{i}") for i, k in enumerate(keys, 1)] + [value.alias("value")]
+        at = [F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line")]
+        parts.append(rows.select(F.lit(number).alias("query"), *columns, *at))
+    whole = reduce(lambda a, b: a.unionByName(b), parts)
+    place = F.row_number().over(Window.partitionBy("query").orderBy("file", "line"))
+    return whole.select("query", place.alias("place"), "key_1", "key_2", "value")
+
+
+def _cover_matrix(spark, sf_dir):
+    """Which of the 51 tables can answer which benchmark spec."""
+    rows = [(name, t.name, rollup_covers(spec, t)) for name, spec in SPECS.items() for t in ROLLUPS]
+    known = read_manifest(spark, store(spark, sf_dir).path).where("kind = 'rollup'").select("name")
+    covers = spark.createDataFrame(rows, "spec string, table_name string, covered boolean")
+    return covers.join(known, F.col("name") == F.col("table_name"), "left_semi")
+
+
+def _base_counts(spark, sf_dir):
+    """Rows, whole and by event type, of the tables that the others are merged from."""
+    manifest = read_manifest(spark, store(spark, sf_dir).path)
+    kinds = [F.col("by_type")[kind].alias(kind) for kind in EVENT_TYPES]
+    return manifest.where(F.col("kind").isin("base", "sets")).select("kind", "name", "rows", *kinds)
+
+
+def _from_sets(key: str) -> Query:
+    """Distinct ids merged from stored bitmaps."""
+    spec = {"select": [key, {"COUNT": "DISTINCT advertiser_id"}, {"COUNT": "*"}], "group_by": [key]}
+    return lambda spark, sf_dir: answer_from_rollup(store(spark, sf_dir), "sets_advertiser", spec)
+
+
+def _approximate_and_exact(spark, sf_dir):
+    """Distinct publishers per country, and whether merged sketches come within three errors of it."""
+    built = store(spark, sf_dir)
+    counts = [{"COUNT": "DISTINCT publisher_id"}, {"APPROX_COUNT_DISTINCT": "publisher_id"}]
+    spec = {"select": ["country", *counts], "group_by": ["country"]}
+    found = answer_from_rollup(built, "sets_publisher", spec, approximate=True)
+    exact, near = F.col("`count(DISTINCT publisher_id)`"), F.col("`approx_count_distinct(publisher_id)`")
+    error = 3 * 1.04 / 2**6  # of a sketch of 2**12 registers
+    return found.select("country", exact.alias("exact"), (F.abs(near - exact) <= exact * error).alias("close"))
+
+
+def _stored_spread(spark, sf_dir):
+    """Variances merged from stored moments."""
+    names = ("stddev(bid_price)", "variance(bid_price)")
+    spec = {
+        "select": ["country", {"STDDEV": "bid_price"}, {"VARIANCE": "bid_price"}],
+        "where": [{"col": "type", "op": "eq", "val": "impression"}],
+        "group_by": ["country"],
+    }
+    found = answer_from_rollup(
+        store(spark, sf_dir), "agg_country_daily_impressions", spec, approximate=True
+    )
+    return found.withColumns({n: F.col(f"`{n}`").cast("decimal(24,6)").cast("double") for n in names})
+
+
+def _capital_headers(spark, sf_dir):
+    """By name, through files with headers in capitals, and one whose file has no type at all."""
+    folder = new_folder(spark, "csv")
+    raw = raw_ad_events(spark, sf_dir)
+    capitals = raw.select(*[F.col(c).alias(c.upper()) for c in reversed(raw.columns)])
+    capitals.where("TYPE <> 'serve'").write.option("header", True).csv(f"{folder}/capitals")
+    raw.where("type = 'serve'").drop("type").write.option("header", True).csv(f"{folder}/untyped")
+    return _with_millis(clean_events(read_raw_events(spark, f"{folder}/*/*.csv", by_name=True)))
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     for table in ROLLUPS:
@@ -210,6 +301,16 @@ def queries() -> dict[str, Query]:
         "format_times": _formatted_times,
         "result_csv": _result_file,
         "batch_records": _batch_records,
+        "batch_results": _batch_results,
+        "prepare_rollups": _prepared_rollups,
+        "cover_matrix": _cover_matrix,
+        "manifest_bases": _base_counts,
+        "distinct_by_day": _from_sets("day"),
+        "distinct_by_week": _from_sets("week"),
+        "distinct_by_country": _from_sets("country"),
+        "approx_distinct_close": _approximate_and_exact,
+        "answer_spread": _stored_spread,
+        "ingest_csv_capitals": _capital_headers,
     }
 
 

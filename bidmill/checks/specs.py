@@ -16,6 +16,7 @@ def _by(*columns: str) -> list[dict]:
 
 _COUNT, _BID, _TOTAL = {"COUNT": "*"}, {"SUM": "bid_price"}, {"SUM": "total_price"}
 
+# What each spec selects, its conditions, keys and order.
 SPECS = {
     "q01": {
         "select": [_COUNT],
@@ -41,6 +42,13 @@ SPECS = {
         "group_by": ["minute"],
         "order_by": _by("minute"),
     },
+    "q05": {  # q04 asked again
+        "select": ["minute", _BID],
+        "from": "events",
+        "where": _where("impression", day=("eq", _DAY)),
+        "group_by": ["minute"],
+        "order_by": _by("minute"),
+    },
     "q06": {"select": [_BID], "from": "events", "where": _where("impression")},
     "q07": {
         "select": [_COUNT],
@@ -104,5 +112,3 @@ SPECS = {
         "order_by": _by("publisher_id"),
     },
 }
-SPECS["q05"] = SPECS["q04"]  # asked twice
-SPECS = dict(sorted(SPECS.items()))

@@ -35,13 +35,37 @@ def mean(total: str, count: str) -> str:
     return f"({total}) / nullif({count}, 0)"
 
 
+def squares_of_means(price: str) -> str:
+    """What a partial row adds to the sum of squares if all its values were their mean."""
+    whole = total(f"sum_{price}", f"rest_{price}")
+    return f"({whole}) * ({whole}) / nullif(n_{price}, 0)"
+
+
+def merged_deviations(price: str) -> str:
+    """Squared deviations from the common mean, summed over partial rows.
+
+    Each row brings those from its own mean; those of the means are added (never less than 0,
+    as rounding could have it).
+    """
+    whole = total(f"sum(sum_{price})", f"sum(rest_{price})")
+    between = f"sum({squares_of_means(price)}) - ({whole}) * ({whole}) / nullif(sum(n_{price}), 0)"
+    return f"sum(m2_{price}) + greatest({between}, 0D)"
+
+
+def sample_variance(deviations: str, count: str) -> str:
+    """NULL for fewer than two values."""
+    return f"CASE WHEN {count} > 1 THEN ({deviations}) / ({count} - 1) END"
+
+
 def total_count(column: str) -> str:
     """Sum of a count column; no rows means 0."""
     return f"coalesce(sum({column}), 0)"
 
 
 def first_partials(schema: T.StructType) -> list[str]:
-    """Partial measures over events: row count, and per price its count, both sums, min and max."""
+    """Partial measures over events: row count, and per price its count, both sums, min, max
+    and squared deviations from the mean.
+    """
     out = ["count(1) AS n_events"]
     for price in PRICES:
         out += [
@@ -50,6 +74,7 @@ def first_partials(schema: T.StructType) -> list[str]:
             f"sum({remainder(price, schema[price].dataType)}) AS rest_{price}",
             f"min({price}) AS min_{price}",
             f"max({price}) AS max_{price}",
+            f"var_pop(cast({price} AS double)) * count({price}) AS m2_{price}",
         ]
     return out
 
@@ -61,6 +86,7 @@ def merged_partials() -> list[str]:
         out.append(f"{total_count(f'n_{price}')} AS n_{price}")
         out.append(f"sum(rest_{price}) AS rest_{price}")
         out += [f"{f}({f}_{price}) AS {f}_{price}" for f in ("sum", "min", "max")]
+        out.append(f"{merged_deviations(price)} AS m2_{price}")
     return out
 
 

@@ -5,7 +5,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-from bidmill.functions.measures import exact, mean, remainder, total
+from bidmill.functions.measures import (
+    exact,
+    mean,
+    merged_deviations,
+    remainder,
+    sample_variance,
+    total,
+)
 from bidmill.functions.timekeys import source_of
 from bidmill.operators.rollups import GLOBAL_EXTRAS, GLOBAL_STATS, Rollup
 from bidmill.schema import PRICES
@@ -70,14 +77,18 @@ def over_events(aggregate: Aggregate, schema: T.StructType) -> str:
         return f"{name}(cast({column} AS double))"
     if isinstance(data_type, T.IntegralType) and name == "SUM":
         return f"sum({column})"
-    whole = total(f"sum({exact(column, data_type)})", f"sum({remainder(column, data_type)})")
+    if isinstance(data_type, T.DecimalType):  # nothing is left beside the exact sum
+        whole = f"cast(sum({column}) AS double)"
+    else:
+        whole = total(f"sum({exact(column, data_type)})", f"sum({remainder(column, data_type)})")
     return mean(whole, f"count({column})") if name == "AVG" else whole
 
 
 def over_partials(aggregate: Aggregate, table: Rollup, one_row: bool = False) -> str | None:
     """The aggregate as SQL over a table's partial rows; None where it does not follow.
 
-    With ``one_row`` every group is a single partial row, and the SQL is over that row.
+    With ``one_row`` every group is a single partial row, and the SQL is over that row. Rows
+    of a table with sets must be merged by group and bucket first.
     """
     name, column = aggregate.function, aggregate.column
 
@@ -94,13 +105,22 @@ def over_partials(aggregate: Aggregate, table: Rollup, one_row: bool = False) ->
     if column in PRICES and not aggregate.distinct:
         count = count_of(f"n_{column}")
         whole = total(merged("sum", f"sum_{column}"), merged("sum", f"rest_{column}"))
+        deviations = f"m2_{column}" if one_row else merged_deviations(column)
+        variance = sample_variance(deviations, count)
         return {
             "COUNT": count,
             "SUM": whole,
             "AVG": mean(whole, count),
+            "VARIANCE": variance,
+            "STDDEV": f"sqrt({variance})",
             "MIN": f"cast({merged('min', f'min_{column}')} AS double)",
             "MAX": f"cast({merged('max', f'max_{column}')} AS double)",
         }.get(name)
+    if column == table.sets:
+        if aggregate.distinct:
+            return f"coalesce({merged('sum', 'bitmap_count(bits)')}, 0L)"
+        if name == "APPROX_COUNT_DISTINCT":
+            return f"hll_sketch_estimate({merged('hll_union_agg', 'sketch')})"
     if not source_of(column, table.keys):
         return None
     if name == "COUNT" and not aggregate.distinct:

@@ -18,10 +18,31 @@ _BOUNDS_ABOVE = ("eq", "in", "between", "lt", "lte")
 
 def where_all(df: DataFrame, conditions: tuple[dict, ...]) -> DataFrame:
     """Keep the rows for which every condition is true."""
+    return df.where(all_of(df.schema, conditions)) if conditions else df
+
+
+def all_of(schema: T.StructType, conditions: tuple[dict, ...]) -> str:
+    """All conditions, and the bounds on the day that they imply, as one predicate."""
     texts = []
     for condition in conditions:
-        texts += [predicate(df.schema, condition), *_implied_day_bounds(df.schema, condition)]
-    return df.where(" AND ".join(texts)) if texts else df
+        texts += [predicate(schema, condition), *_implied_day_bounds(schema, condition)]
+    return " AND ".join(texts) or "true"
+
+
+def asked_days(conditions: tuple[dict, ...]) -> int | None:
+    """How many days the conditions on the day leave; None if one end is open."""
+    least = None
+    for condition in conditions:
+        if condition["col"] != "day" or condition["op"] not in ("eq", "in", "between"):
+            continue
+        values = condition["val"] if condition["op"] != "eq" else [condition["val"]]
+        days = [_naive_time(value, "day").date() for value in values]
+        if condition["op"] == "between" and len(days) == 2:
+            n = max(0, (days[1] - days[0]).days + 1)
+        else:
+            n = len(set(days))
+        least = n if least is None else min(least, n)
+    return least
 
 
 def predicate(schema: T.StructType, condition: dict) -> str:

@@ -1,6 +1,6 @@
 """The 51 pre-aggregated tables, and the four finer tables most of them are built from."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,9 @@ class Rollup:
 
     ``type`` is the only event type counted, or None for all. ``priced`` tables report only
     rows with a total price. ``measures`` are the reported columns, in order; ``order`` is
-    the stored row order where it is not the keys, ``-`` meaning descending.
+    the stored row order where it is not the keys, ``-`` meaning descending. A table with
+    ``sets`` keeps, for each stretch of ids (``bucket``) of that column, the set of ids seen as a
+    bitmap (``bits``) and as a sketch (``sketch``), both of which merge.
     """
 
     name: str
@@ -29,6 +31,7 @@ class Rollup:
     measures: tuple[str, ...] = ()
     order: tuple[str, ...] | None = None
     priced: bool = False
+    sets: str | None = None
 
 
 def _impressions(name, *keys, measures=_BID, order=None):
@@ -124,7 +127,13 @@ BASES = (
     Rollup("base_minute", None, ("type", "day", "hour", "minute")),
 )
 
-BY_NAME = {r.name: r for r in ROLLUPS + BASES}
+# Merged from the bases: which ids were seen, so that distinct counts merge to any coarser group.
+SETS = (
+    Rollup("sets_advertiser", None, ("type", "day", "country"), sets="advertiser_id"),
+    Rollup("sets_publisher", None, ("type", "day", "country"), sets="publisher_id"),
+)
+
+BY_NAME = {r.name: r for r in ROLLUPS + BASES + SETS}
 
 GLOBAL_STATS = BY_NAME["agg_global_stats"]
 
@@ -148,11 +157,12 @@ def rollup(events: DataFrame, name: str) -> DataFrame:
 
 def partials(events: DataFrame, table: Rollup) -> DataFrame:
     """Keys and mergeable partial measures of a table, from events."""
-    rows = _of_type(events, table)
-    measures = first_partials(events.schema)
     if table is GLOBAL_STATS:
-        measures += [f"{call.format(c)} AS {name}" for name, c, call in GLOBAL_EXTRAS]
-    return _grouped(rows, table, measures)
+        return global_stats({n: partials(events, BY_NAME[n]) for n in GLOBAL_STATS_PARENTS})
+    if table.sets:  # sets of the few ids of a group, not of its many events
+        finer = replace(table, keys=(*table.keys, table.sets), sets=None)
+        return merge(partials(events, finer), finer, table)
+    return _grouped(_of_type(events, table), table, first_partials(events.schema))
 
 
 def derives_from(table: Rollup, finer: Rollup) -> bool:
@@ -160,13 +170,31 @@ def derives_from(table: Rollup, finer: Rollup) -> bool:
     if GLOBAL_STATS in (table, finer):
         return False
     same_events = finer.type == table.type or (finer.type is None and "type" in finer.keys)
-    return same_events and all(source_of(key, finer.keys) for key in table.keys)
+    same_sets = table.sets in (None, finer.sets) or table.sets in finer.keys
+    return same_events and same_sets and all(source_of(key, finer.keys) for key in table.keys)
 
 
 def merge(finer: DataFrame, finer_table: Rollup, table: Rollup) -> DataFrame:
     """The partials of ``table`` from those of a finer table."""
     rows = finer if finer_table.type == table.type else _of_type(finer, table)
-    return _grouped(rows, table, merged_partials())
+    if not table.sets:
+        return _grouped(rows, table, merged_partials())
+    if finer_table.sets == table.sets:
+        return merged_sets(with_time_keys(rows, table.keys), table.keys)
+    ids = table.sets
+    measures = [
+        *merged_partials(),
+        f"bitmap_construct_agg(bitmap_bit_position({ids})) AS bits",
+        f"hll_sketch_agg({ids}) AS sketch",
+    ]
+    rows = rows.withColumn("bucket", F.expr(f"bitmap_bucket_number({ids})"))
+    return _aggregated(with_time_keys(rows, table.keys), measures, (*table.keys, "bucket"))
+
+
+def merged_sets(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Rows with sets by coarser keys: one row for each bucket of a group."""
+    sets = ["bitmap_or_agg(bits) AS bits", "hll_union_agg(sketch) AS sketch"]
+    return _aggregated(rows, [*merged_partials(), *sets], (*keys, "bucket"))
 
 
 def public_table(partial_rows: DataFrame, table: Rollup) -> DataFrame:
@@ -183,7 +211,7 @@ def stored_order(table: Rollup) -> list[Column]:
     Keys settle ties, so that rows with equal measures can be cut into several ranges.
     """
     out = []
-    for name in (*(table.order or ()), *table.keys):
+    for name in (*(table.order or ()), *table.keys, *(["bucket"] if table.sets else [])):
         column = F.expr(public_measure(name.removeprefix("-"), table.priced))
         out.append(column.desc_nulls_last() if name[0] == "-" else column.asc_nulls_last())
     return out
@@ -192,10 +220,11 @@ def stored_order(table: Rollup) -> list[Column]:
 def global_stats(tables: dict[str, DataFrame]) -> DataFrame:
     """The partials of agg_global_stats from type-split tables.
 
-    Distinct counts do not merge, but each is the number of distinct keys of a small table
-    that covers all events; the one-row answers are put together by maxima.
+    Each distinct count is the number of distinct keys of a small table that covers all
+    events; the one-row answers are put together by maxima. So events are never expanded for
+    several distinct counts at once.
     """
-    parts = [_aggregated(tables["agg_type_counts"], merged_partials())]
+    parts = [_aggregated(tables["agg_country_type_daily"], merged_partials())]
     for name, column, call in GLOBAL_EXTRAS:
         parts.append(
             _aggregated(tables[_GLOBAL_SOURCES[column]], [f"{call.format(column)} AS {name}"])
@@ -207,10 +236,10 @@ def global_stats(tables: dict[str, DataFrame]) -> DataFrame:
 _GLOBAL_SOURCES = {
     "advertiser_id": "agg_advertiser_type",
     "publisher_id": "agg_publisher_type",
-    "country": "agg_country_type",
-    "day": "agg_daily_type",
+    "country": "agg_country_type_daily",
+    "day": "agg_country_type_daily",
 }
-GLOBAL_STATS_PARENTS = ("agg_type_counts", *_GLOBAL_SOURCES.values())
+GLOBAL_STATS_PARENTS = tuple(dict.fromkeys(_GLOBAL_SOURCES.values()))
 
 
 def _grouped(rows: DataFrame, table: Rollup, measures: list[str]) -> DataFrame:

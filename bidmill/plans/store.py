@@ -15,6 +15,7 @@ from bidmill.operators.rollups import (
     GLOBAL_STATS,
     GLOBAL_STATS_PARENTS,
     ROLLUPS,
+    SETS,
     Rollup,
     derives_from,
     global_stats,
@@ -25,23 +26,35 @@ from bidmill.operators.rollups import (
 )
 from bidmill.schema import EVENT_TYPES, LOCAL_ZONE
 from bidmill.sources.csv_events import clean_events, read_raw_events
-from bidmill.sources.layout import read_by_type, read_table, write_by_type, write_table
+from bidmill.sources.layout import (
+    read_by_type,
+    read_table,
+    remove,
+    write_by_type,
+    write_once,
+    write_table,
+)
 
-ALL_TABLES = tuple(r.name for r in BASES + ROLLUPS)
+ALL_TABLES = tuple(r.name for r in BASES + SETS + ROLLUPS)
 
 _MANIFEST = (
-    "kind string, name string, type string, keys array<string>, rows bigint, schema string"
+    "kind string, name string, type string, keys array<string>, rows bigint, schema string, "
+    "by_type map<string,bigint>"
 )
 
+# Its rows tell how many days the events span.
+_DAILY = "agg_daily_type"
+
 # Independent tables written at the same time, so that small jobs share the cluster.
 _WRITERS = 8
 
 
 @dataclass(frozen=True)
 class Written:
-    """A written table: its row count and file schema."""
+    """A written table: its row count, its rows of each event type, and its file schema."""
 
     rows: int
+    by_type: dict[str, int]
     schema: T.StructType
 
 
@@ -53,17 +66,29 @@ def prepare(
     by_name: bool = False,
     price_type: str = "double",
 ) -> "Store":
-    """Build a whole store from the ``events_part_*.csv`` files of a folder."""
+    """Build a whole store from the ``events_part_*.csv`` files of a folder.
+
+    The text is parsed once: typed events are written as they come, and sampled and sorted from
+    those files, which are removed afterwards.
+    """
     raw = read_raw_events(spark, f"{in_dir}/events_part_*.csv", by_name)
-    return build_store(clean_events(raw, zone, price_type), out_dir)
+    typed, rows = write_once(clean_events(raw, zone, price_type), f"{out_dir}/typed")
+    store = build_store(typed, out_dir, rows=rows)
+    remove(spark, f"{out_dir}/typed")
+    return store
 
 
-def build_store(events: DataFrame, out_dir: str, names: tuple[str, ...] = ALL_TABLES) -> "Store":
+def build_store(
+    events: DataFrame,
+    out_dir: str,
+    names: tuple[str, ...] = ALL_TABLES,
+    rows: int | None = None,
+) -> "Store":
     """Write events, the named tables, and last the manifest that makes the store readable."""
     spark = events.sparkSession
     # An earlier manifest must not describe a half-rebuilt store.
     spark.createDataFrame([], _MANIFEST).write.mode("overwrite").json(_manifest_path(out_dir))
-    write_by_type(events, f"{out_dir}/events")
+    write_by_type(events, f"{out_dir}/events", rows=rows)
     written = write_rollups(read_by_type(spark, f"{out_dir}/events"), out_dir, names)
     write_manifest(spark, out_dir, written)
     return Store(spark, out_dir)
@@ -93,9 +118,9 @@ def write_rollups(
     return written
 
 
-def _level(table: Rollup) -> tuple[bool, int]:
-    """Bases first, then tables with more keys before tables with fewer."""
-    return table not in BASES, -len(table.keys)
+def _level(table: Rollup) -> tuple[bool, bool, int]:
+    """Bases first, then tables with more keys before tables with fewer, sets before others."""
+    return table not in BASES, table not in SETS, -len(table.keys)
 
 
 def _merged_from_written(
@@ -129,11 +154,17 @@ def write_manifest(spark: SparkSession, out_dir: str, written: dict[str, Written
         F.lit("type").alias("kind"), F.col("type").alias("name"), "type",
         F.col("n_events").alias("rows"),
     )
-    rows = [("events", "events", None, [], events.count(), None)]
+    days = by_type.sparkSession.range(0).select(F.lit(0).alias("n"))
+    if _DAILY in written:
+        daily = read_table(spark, _table_path(out_dir, _DAILY), written[_DAILY].schema)
+        days = daily.agg(F.count_distinct("day").alias("n"))
+    rows = [("events", "events", None, [], events.count(), None, None)]
+    rows += [("days", "days", None, [], r["n"], None, None) for r in days.collect()]
     for name, table in written.items():
-        kind = "base" if BY_NAME[name] in BASES else "rollup"
+        kind = "sets" if BY_NAME[name] in SETS else "base" if BY_NAME[name] in BASES else "rollup"
         keys = list(BY_NAME[name].keys)
-        rows.append((kind, name, BY_NAME[name].type, keys, table.rows, table.schema.json()))
+        about = (table.rows, table.schema.json(), table.by_type)
+        rows.append((kind, name, BY_NAME[name].type, keys, *about))
     (
         spark.createDataFrame(rows, _MANIFEST)
         .unionByName(types, allowMissingColumns=True)
@@ -169,6 +200,7 @@ class Store:
             e["name"]: T.StructType.fromJson(json.loads(e["schema"]))
             for e in entries if e["schema"]
         }
+        self._by_type = {e["name"]: e["by_type"] or {} for e in entries}
         self._open: dict[str, DataFrame] = {}
 
     @property
@@ -176,6 +208,21 @@ class Store:
         """Stored tables and their row counts."""
         return {n: rows for (kind, n), rows in self._rows.items() if kind in ("rollup", "base")}
 
+    @property
+    def sets(self) -> dict[str, int]:
+        """Stored tables of sets of ids and their row counts."""
+        return {n: rows for (kind, n), rows in self._rows.items() if kind == "sets"}
+
+    @property
+    def days(self) -> int:
+        """How many days the events span; 0 if that is not known."""
+        return self._rows.get(("days", "days"), 0)
+
+    def table_rows(self, name: str, event_type: str | None = None) -> int:
+        """Rows of a stored table, or those of one event type where it tells types apart."""
+        whole = (self.tables | self.sets)[name]
+        return self._by_type[name].get(event_type, whole) if event_type else whole
+
     def event_rows(self, event_type: str | None = None) -> int:
         """Rows that a scan of one type's events, or of all, has to read."""
         everything = self._rows["events", "events"]
@@ -187,7 +234,7 @@ class Store:
         return self._opened("events", lambda: read_by_type(self.spark, f"{self.path}/events"))
 
     def partials(self, name: str) -> DataFrame:
-        if name not in self.tables:
+        if name not in self.tables | self.sets:
             raise ValueError(f"table {name!r} is not in the store at {self.path}")
         path = _table_path(self.path, name)
         return self._opened(name, lambda: read_table(self.spark, path, self._schemas[name]))
