@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -15,6 +16,9 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 _POWERS = 1 << 21
+_BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
+#: Bytes of a text that are cut into words at once.
+_PIECE = 1 << 20
 
 
 def stored(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
@@ -41,6 +45,16 @@ def as_bytes(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def word_lists(data: bytes):
+    """Lists of the words between ASCII white space, for a text's pieces; no word is cut."""
+    at = 0
+    while at < len(data):
+        blank = _BLANK.search(data, at + _PIECE)
+        end = blank.start() if blank else len(data)
+        yield data[at:end].split()
+        at = end
+
+
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random values of bytes, powers of the base, and powers of its inverse modulo 2**64."""

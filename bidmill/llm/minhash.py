@@ -2,18 +2,20 @@
 
 Each document is the set of its distinct word shingles. Documents with equal sets are one node from
 the start. HASHES universal hash functions give a signature of minima; documents that agree on all
-ROWS minima of a band share a bucket. Candidates of a bucket are verified first on their signatures
-(a byte of each minimum; rejected seven standard deviations under the threshold), then on the full
-sets. Components come from alternating large-star and small-star.
+ROWS minima of a band share a bucket. Components come from alternating large-star and small-star.
 
-No bucket emits all its pairs. First each bucket is compared with one central member, that which
-shares the most with others; this joins nearly all of a large group. Then only members of one
-bucket that are still in different components are compared, and only if what both have in common with
-the central member does not rule a link out (`_apart`). So every pair of a bucket is either in one component
-already, or ruled out by exact bounds or by its signatures, or compared.
+No bucket emits its pairs. First each bucket's members are compared with one central member, that which
+shares the most with others; this joins nearly all of a large group. Where a bucket still holds several
+components, its members that are not in the centre's component are compared with all others, block by block in
+tasks of a bounded size, and only links come out, at most one for each member. For that a member needs only
+its difference from the centre: two sets differ by just what their differences from a third set
+differ by. So comparing is exact, every pair of a bucket is in one component already or compared, and
+rows grow with the members. Signatures are verified on the way to a comparison with a centre: a pair whose minima
+agree too rarely (seven standard deviations under the threshold) is no link.
 
 With 24 bands of 4 rows a pair of similarity 0.85 shares no band with probability 2e-8, one of 0.8 with 3e-6.
 The signatures rule such a pair out with probability 3e-10 and 5e-11 under its own threshold, so bands rule the sum.
+Words are hashed by BLAKE2b and shingles by sums over odd multipliers modulo 2**64.
 
 Defined cases: null text, and text without words, is an empty set, linked with nothing. A text of
 fewer words than a shingle is one shingle. Null ids: such documents are linked by their text like
@@ -30,51 +32,63 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidmill.llm.common import LOWER, as_bytes, mixed, span_hashes, stored, unused, word_spans
+from bidmill.llm.common import LOWER, as_bytes, mixed, stored, unused, word_lists
 from bidmill.llm.components import components
 
 HASHES = 96
 ROWS = 4
 _BANDS = HASHES // ROWS
-_CHUNK = 1 << 19
-_IS_WORD = np.array([not (c == 0x20 or 0x09 <= c <= 0x0D) for c in range(256)])
+#: Words that a Python process remembers with their hashes, none of them longer than so many bytes.
+_REMEMBERED = 1 << 20
+_REMEMBERED_BYTES = 64
+#: Members of a centre that one task compares with it, and members and shingles of a block of a bucket.
+_OF_CENTRE = 4096
+_BLOCK = 1024
+_BLOCK_SHINGLES = 1 << 19
+#: Shingles of a block that are looked at together.
+_COLUMNS = 4096
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 _WORD_PLACES = _rng.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+class _Words(dict):
+    """Hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: bytes) -> int:
+        own = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= _REMEMBERED_BYTES:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = own
+        return own
+
+
+_WORDS = _Words()
+
+
+def _word_hashes(text: str | None, known: _Words) -> np.ndarray:
+    parts = [np.fromiter(map(known.__getitem__, own), np.uint64, len(own)) for own in word_lists(as_bytes(text).translate(LOWER))]
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Sorted 64-bit hashes of the distinct shingles of each text."""
-    out: list[np.ndarray] = []
-    batch, size = [], 0
+    known, out = _WORDS, []
     for text in texts:
-        batch.append(as_bytes(text).translate(LOWER))
-        size += len(batch[-1])
-        if size >= _CHUNK:
-            out += _sets(batch, words)
-            batch, size = [], 0
-    return out + _sets(batch, words)
-
-
-def _sets(batch: list[bytes], words: int) -> list[np.ndarray]:
-    data = np.frombuffer(b" ".join(batch) + b" ", np.uint8)
-    starts, ends = word_spans(data, _IS_WORD)
-    hashes = span_hashes(data, starts, ends)
-    first = np.searchsorted(starts, np.cumsum([0, *(len(b) + 1 for b in batch)]))
-    rolled = np.zeros(max(0, len(hashes) - words + 1), np.uint64)
-    for k in range(words):
-        rolled += hashes[k : k + len(rolled)] * _WORD_PLACES[k % 64]
-    rolled = mixed(rolled)
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-        if b - a >= words:
-            out.append(np.unique(rolled[a : b - words + 1]))
-        elif b > a:
-            short = (hashes[a:b] * _WORD_PLACES[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
+        hashes = _word_hashes(text, known)
+        n = len(hashes)
+        if n >= words:
+            rolled = np.zeros(n - words + 1, np.uint64)
+            for k in range(words):
+                rolled += hashes[k : k + len(rolled)] * _WORD_PLACES[k % 64]
+            out.append(np.unique(mixed(rolled)))
+        elif n:
+            short = (hashes * _WORD_PLACES[:n]).sum(dtype=np.uint64) + np.uint64(n)
             out.append(mixed(np.array([short])))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(hashes)
     return out
 
 
@@ -130,38 +144,181 @@ def _spread(rows: np.ndarray, places: list[int], n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()), mask=pa.array(missing))
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    """How many of the minima agree in their last byte: zero bytes of the differences."""
-    ones = 0x0101010101010101
-    total = F.lit(HASHES)
-    for k in range(HASHES // 8):
-        x = a[k].bitwiseXOR(b[k])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 4))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        total = total - F.bit_count(x.bitwiseAND(F.lit(ones)))
-    return total
+def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
+    """How many of the minima agree in their last byte."""
+    return int((a.view(np.uint8) == b.view(np.uint8)).sum())
 
 
 class _Rule:
     """Linked if 100 * intersection >= percent * union."""
 
-    def __init__(self, percent: int, words: int):
-        self.percent, self.words = percent, words
+    def __init__(self, percent: int):
+        self.percent = percent
         t = percent / 100
         self.least = int(np.floor(HASHES * t - 7 * np.sqrt(HASHES * t * (1 - t))))
 
-    def may_link(self, a: str, b: str) -> Column:
-        n, m = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-        sizes = F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
-        return sizes & (_agreeing(F.col(f"{a}.sketch"), F.col(f"{b}.sketch")) >= self.least)
+    def linked(self, n, m, both):
+        return both * 100 >= (n + m - both) * self.percent
+
+
+class _Lists:
+    """Rows of a list column of numbers, without a Python object for each number."""
+
+    def __init__(self, column: pa.ListArray):
+        self.offsets = column.offsets.to_numpy()
+        self.values = column.values.to_numpy(zero_copy_only=False)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.values[self.offsets[i] : self.offsets[i + 1]]
+
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough."""
-        one = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        two = one.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-        both = F.size(F.array_intersect("x", "y"))
-        return two.where(both * 100 >= (F.size("x") + F.size("y") - both) * self.percent).select("a", "b")
+def _list_column(rows: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
+
+
+_COMPARED = "a binary, b binary, n int, linked boolean, differs array<long>"
+
+
+def _with_centres(star: DataFrame, sets: DataFrame, rule: _Rule) -> DataFrame:
+    """(a, b, n, linked, differs) for each pair (a, b): a's size, and in what a and its centre b differ.
+
+    A centre's set goes once to each of the tasks that its members are dealt to.
+    """
+    spark = star.sparkSession
+    loads = star.groupBy("b").agg(F.ceil(F.count("*") / _OF_CENTRE).cast("int").alias("parts"))
+    loads = stored(spark, loads, "loads")
+    part = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part")
+    members = star.join(loads, "b").select("a", "b", part).join(sets.withColumnRenamed("node", "a"), "a")
+    centres = loads.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    centres = centres.join(sets.withColumnRenamed("node", "b"), "b").withColumn("a", F.lit(None).cast("binary"))
+    columns = ["b", "part", "a", "shingles", "sketch"]
+    dealt = members.select(columns).unionAll(centres.select(columns))
+    dealt = dealt.repartition("b", "part").sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
+
+    def run(batches):
+        centre, minima_ = None, None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                nodes, centres = batch.column(2).to_pylist(), batch.column(0).to_pylist()
+                shingles, sketches = _Lists(batch.column(3)), _Lists(batch.column(4))
+                out = []
+                for i, node in enumerate(nodes):
+                    own = shingles[i]
+                    if node is None:
+                        centre, minima_ = own.copy(), sketches[i].copy()
+                        continue
+                    differs = np.setxor1d(own, centre, assume_unique=True)
+                    both = (len(own) + len(centre) - len(differs)) // 2
+                    linked = _agreeing(sketches[i], minima_) >= rule.least and rule.linked(len(own), len(centre), both)
+                    out.append((node, centres[i], len(own), linked, differs))
+                a, b, n, linked, differs = zip(*out, strict=True) if out else [()] * 5
+                arrays = [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int32()), pa.array(linked, pa.bool_()), _list_column(list(differs))]
+                yield pa.RecordBatch.from_arrays(arrays, ["a", "b", "n", "linked", "differs"])
+
+    return dealt.mapInArrow(run, _COMPARED)
+
+
+def shared_counts(asking: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each of some sets shares with each of others; blocks of numbers at a time."""
+    out = np.zeros((len(asking), len(others)), np.float32)
+    flat = [np.concatenate([np.zeros(0, np.int64), *sets]) for sets in (asking, others)]
+    owner = [np.repeat(np.arange(len(sets)), [len(s) for s in sets]) for sets in (asking, others)]
+    common = np.intersect1d(*flat)
+    at = [np.searchsorted(common, values) for values in flat]
+    known = [np.flatnonzero(np.append(common, 0)[place] == values) if len(common) else place[:0] for place, values in zip(at, flat, strict=True)]
+    for low in range(0, len(common), _COLUMNS):
+        tables = []
+        for k, sets in enumerate((asking, others)):
+            rows, columns = owner[k][known[k]], at[k][known[k]]
+            inside = (columns >= low) & (columns < low + _COLUMNS)
+            table = np.zeros((len(sets), min(_COLUMNS, len(common) - low)), np.float32)
+            table[rows[inside], columns[inside] - low] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out.astype(np.int64)
+
+
+def _cross_links(asking: list[tuple], others: list[tuple], rule: _Rule) -> list[tuple[bytes, bytes]]:
+    """Links of rows (node, component, n, differs), one for each node that is joined by them."""
+    if not asking or not others:
+        return []
+    n, m = (np.array([r[2] for r in rows]) for rows in (asking, others))
+    e, f = (np.array([len(r[3]) for r in rows]) for rows in (asking, others))
+    differ = e[:, None] + f - 2 * shared_counts([r[3] for r in asking], [r[3] for r in others])
+    near = rule.linked(n[:, None], m, (n[:, None] + m - differ) // 2)
+    top: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while top.setdefault(x, x) != x:
+            x = top[x] = top[top[x]]
+        return x
+
+    out = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        a, b = asking[i], others[j]
+        if a[1] != b[1] and (x := find(a[1])) != (y := find(b[1])):
+            top[max(x, y)] = min(x, y)
+            out.append((a[0], b[0]))
+    return out
+
+
+def _still_apart(shared: DataFrame, centres: DataFrame, groups: DataFrame, compared: DataFrame, rule: _Rule) -> DataFrame:
+    """Links (a, b) between members of one bucket that are not yet in one component."""
+    spark = shared.sparkSession
+    placed = shared.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    placed = stored(spark, placed, "placed")
+    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    named = centres.join(several, "bucket").join(groups.select(F.col("node").alias("centre"), "component"), "centre", "left")
+    named = stored(spark, named.select("bucket", "centre", F.coalesce("component", "centre").alias("home")), "open")
+    inside = placed.join(named, "bucket").withColumn("outside", F.col("component") != F.col("home"))
+    differs = compared.select(F.col("a").alias("node"), F.col("b").alias("centre"), "n", "differs")
+    inside = inside.select("bucket", "node", "component", "centre", "outside").join(differs, ["node", "centre"])
+    inside = stored(spark, inside.drop("centre"), "inside")
+    weight = F.size("differs") + 1
+
+    def blocks(count, load):
+        return F.greatest(F.lit(1), F.ceil(count / _BLOCK), F.ceil(load / _BLOCK_SHINGLES)).cast("int")
+
+    loads = inside.groupBy("bucket").agg(
+        blocks(F.count("*"), F.sum(weight)).alias("others"),
+        blocks(F.count_if("outside"), F.sum(F.when(F.col("outside"), weight))).alias("askers"),
+    )
+    met = inside.join(stored(spark, loads, "loads"), "bucket")
+
+    def dealt(rows: DataFrame, asks: bool, own: str, each: str) -> DataFrame:
+        """Each row in its own block of one kind, with all blocks of the other kind."""
+        mine = F.pmod(F.xxhash64("node"), F.col(own)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(each) - 1)).alias(each)
+        return rows.select("bucket", mine, every, F.lit(asks).alias("asks"), "node", "component", "n", "differs")
+
+    columns = ["bucket", "askers", "others", "asks", "node", "component", "n", "differs"]
+    asking = dealt(met.where("outside"), True, "askers", "others").select(columns)
+    rows = asking.unionAll(dealt(met, False, "others", "askers").select(columns))
+    rows = rows.repartition("bucket", "askers", "others").sortWithinPartitions("bucket", "askers", "others")
+
+    def run(batches):
+        held, block = ([], []), None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                names = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+                asks, nodes, components_, n = (batch.column(i).to_pylist() for i in range(3, 7))
+                lists, out = _Lists(batch.column(7)), []
+                for i, name in enumerate(names):
+                    if name != block:
+                        out += _cross_links(*held, rule)
+                        held, block = ([], []), name
+                    held[not asks[i]].append((nodes[i], components_[i], n[i], lists[i].copy()))
+                yield _pairs(out)
+        yield _pairs(_cross_links(*held, rule))
+
+    return rows.mapInArrow(run, "a binary, b binary")
+
+
+def _pairs(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in range(2)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -170,36 +327,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     key is the id, or a hash of the text for null ids; mark is another hash of the text. component_key is
     the smallest id of the component, or its smallest key if it has no ids; component_id its smallest id.
     """
-    spark, rule = docs.sparkSession, _Rule(percent, words)
+    spark, rule = docs.sparkSession, _Rule(percent)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), *_row_key(doc_id, text), F.col(text).alias("text"))
     signed = stored(spark, _signed(rows, words), "signatures")
     node_keys = signed.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.min("id").alias("id"))
     node_keys = stored(spark, node_keys, "nodes")
     # One row of each node has its smallest key, or several equal rows do.
-    nodes = signed.where("node is not null").select("node", "n_shingles", "key", "sketch", "bands")
+    nodes = signed.where("node is not null").select("node", "key", "sketch", "bands")
     lone = nodes.join(node_keys.select("node", "key"), ["node", "key"]).dropDuplicates(["node"])
-    lone = stored(spark, lone.select("node", "key", "n_shingles", "sketch", "bands"), "nodes")
+    lone = stored(spark, lone, "nodes")
     keys = lone.select("node", F.explode("bands").alias("bucket"))
     buckets = stored(spark, keys.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     shared = stored(spark, keys.join(buckets, "bucket"), "shared")
-    seen = shared.groupBy("node").agg(F.sum("size").alias("weight"))
-    known = lone.join(seen, "node").select("node", "key", "n_shingles", "sketch", "weight")
-    known = stored(spark, known, "known")
-    sets = stored(spark, _full_sets(rows, known.select("node", "key"), words), "sets")
-    traits = known.select("node", "n_shingles", "sketch")
+    known = stored(spark, shared.groupBy("node").agg(F.sum("size").alias("weight")), "known")
+    wanted = lone.join(known, "node").select("node", "key", "sketch")
+    sets = stored(spark, _full_sets(rows, wanted, words), "sets")
 
     # Every bucket against its most connected member.
-    weighted = shared.join(known.select("node", "weight"), "node")
-    centre = weighted.groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
-    centres = stored(spark, centre, "centres")
-    star = shared.join(centres, "bucket").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    a, b = traits.alias("a"), traits.alias("b")
-    star = star.alias("p").join(a, F.col("p.a") == F.col("a.node")).join(b, (F.col("p.b") == F.col("b.node")) & rule.may_link("a", "b"))
-    found = stored(spark, rule.links(stored(spark, star.select("p.a", "p.b"), "pairs"), sets), "found")
+    weighted = shared.join(known, "node")
+    centres = weighted.groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("centre"))
+    centres = stored(spark, centres, "centres")
+    star = shared.join(centres, "bucket").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    compared = stored(spark, _with_centres(stored(spark, star, "stars"), sets, rule), "compared")
+    found = compared.where("linked and a <> b").select("a", "b")
     groups = components(found)
-
-    rest = _apart(shared, centres, groups, traits, sets, rule)
-    more = stored(spark, rule.links(stored(spark, rest, "pairs"), sets), "found")
+    more = stored(spark, _still_apart(shared, centres, groups, compared, rule), "found")
     if not more.isEmpty():
         groups = components(found.unionAll(more))
 
@@ -215,79 +367,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     )
 
 
-def _apart(shared: DataFrame, centres: DataFrame, groups: DataFrame, traits: DataFrame, sets: DataFrame, rule: _Rule) -> DataFrame:
-    """Candidates (a, b) of one bucket that are not yet in one component, from exact bounds.
-
-    Let p be the centre of the bucket, with all shingles that an eighth of its bucket mates share. Of a linked pair u, v at least one, say u, is outside of p's
-    component, and the intersection must have at least `need` shingles, which follows from both sizes. It
-    has at most min(|u & p|, |v & p|) shingles of p. So either `need` is not above that, which few sizes
-    of v allow, or u and v share shingles that p lacks. The first are met by classes of size, the
-    second by shingles (as many as a prefix in a fixed order must have, so that sharing is seen).
-    """
-    spark, percent = shared.sparkSession, rule.percent
-    placed = shared.join(groups, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    placed = stored(spark, placed, "placed")
-    mixed_ = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    named = centres.join(mixed_, "bucket").join(groups.select(F.col("node").alias("centre"), "component"), "centre", "left")
-    named = stored(spark, named.select("bucket", "centre", F.coalesce("component", "centre").alias("home")), "open")
-    inside = placed.join(named, "bucket").select("bucket", "node", "component", "centre", (F.col("component") != F.col("home")).alias("outside"))
-    inside = stored(spark, inside, "inside")
-    met = inside.select("node", "centre").distinct().join(sets.select("node", F.col("shingles").alias("x")), "node")
-    met = met.join(sets.select(F.col("node").alias("centre"), F.col("shingles").alias("y")), "centre")
-    own = F.array_except("x", "y")
-    overlap = met.select("node", "centre", F.size("x").alias("n"), own.alias("own"))
-    overlap = stored(spark, overlap, "overlaps")
-    # p may be any set: it gets the shingles that many of its bucket mates share and it lacks.
-    extra = overlap.select("centre", F.explode("own").alias("shingle")).groupBy("centre", "shingle").agg(F.count("*").alias("n"))
-    sizes = overlap.groupBy("centre").agg(F.count("*").alias("size"))
-    usual = extra.join(stored(spark, sizes, "sizes"), "centre").where("n >= 4 and n * 8 >= size").groupBy("centre").agg(F.collect_list("shingle").alias("usual"))
-    overlap = overlap.join(stored(spark, usual, "usual"), "centre", "left")
-    overlap = overlap.withColumn("own", F.when(F.col("usual").isNull(), F.col("own")).otherwise(F.array_except("own", "usual"))).drop("usual")
-    overlap = stored(spark, overlap.withColumn("common", F.col("n") - F.size("own")), "overlaps")
-    known = overlap.join(traits.select("node", "sketch"), "node")
-
-    def apart(kept: Column) -> Column:
-        sketches = _agreeing(F.col("a.sketch"), F.col("b.sketch")) >= rule.least
-        sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
-        return (F.col("a.component") != F.col("b.component")) & sizes & kept & sketches
-
-    need = (F.col("a.n") + F.col("b.n")) * percent  # times 100 + percent
-    pair = [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
-
-    # All of `need` within the centre: only nodes that mostly lie in it, and partners not above a size.
-    known_in = known.where(F.col("common") * 100 >= F.col("n") * percent).drop("own")
-    near = stored(spark, inside.join(known_in, ["node", "centre"]).drop("centre"), "near")
-    most = F.col("common") * (100 + percent) / percent - F.col("n")
-    first, last = _size_class(F.col("n") * percent / 100), _size_class(F.least(most, F.col("n") * 100 / percent))
-    asking = near.where("outside").withColumn("class", F.explode(F.sequence(first, F.greatest(first, last))))
-    fits = need <= F.least("a.common", "b.common") * (100 + percent)
-    by_size = asking.alias("a").join(
-        near.withColumn("class", _size_class(F.col("n"))).alias("b"),
-        (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.class") == F.col("b.class")) & apart(fits),
-    )
-    # The others share shingles that the centre lacks, at least as many as are missing.
-    missing = F.greatest(F.lit(1), F.ceil(F.col("n") * percent / 100).cast("int") - F.col("common"))
-    prefix = F.slice(F.array_sort("own"), 1, F.greatest(F.lit(0), F.size("own") - missing + 1))
-    of_centre = inside.select("node", "centre", "component", "outside").distinct()
-    lacking = known.withColumn("shingle", F.explode(prefix)).withColumn("extra", F.size("own")).drop("own")
-    lacking = stored(spark, lacking.join(of_centre, ["node", "centre"]), "lacking")
-    enough = need <= (F.least("a.common", "b.common") + F.least("a.extra", "b.extra")) * (100 + percent)
-    by_shingle = lacking.where("outside").alias("a").join(
-        lacking.alias("b"), (F.col("a.centre") == F.col("b.centre")) & (F.col("a.shingle") == F.col("b.shingle")) & apart(enough)
-    )
-    return by_size.select(pair).unionAll(by_shingle.select(pair)).distinct()
-
-
-def _size_class(n: Column) -> Column:
-    return F.floor(F.log(F.greatest(n.cast("double"), F.lit(1.0))) * 50).cast("int")
-
-
 def _row_key(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("key"), F.xxhash64(text, F.lit(1)).alias("mark")]
 
 
 def _full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the wanted (node, key), from the whole texts.
+    """(node, sketch, shingles) of the wanted (node, key, sketch), from the whole texts.
 
     Rows can share a key without sharing a text; only those with the wanted set count.
     """
@@ -296,14 +381,14 @@ def _full_sets(rows: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 batch = whole.slice(at, 1024)
-                sets = shingle_sets(batch.column(1).to_pylist(), words)
+                sets = shingle_sets(batch.column(2).to_pylist(), words)
                 names = batch.column(0).to_pylist()
                 right = [i for i, s in enumerate(sets) if blake2b(s.tobytes(), digest_size=16).digest() == bytes(names[i])]
-                lists = [sets[i].view(np.int64) for i in right]
-                yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in right], pa.binary()), pa.array(lists, pa.list_(pa.int64()))], ["node", "shingles"])
+                kept = batch.take(pa.array(right, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*kept.columns[:2], _list_column([sets[i].view(np.int64) for i in right])], ["node", "sketch", "shingles"])
 
-    met = rows.select("key", "text").join(wanted, "key").select("node", "text")
-    return met.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
+    met = rows.select("key", "text").join(wanted, "key").select("node", "sketch", "text")
+    return met.mapInArrow(run, "node binary, sketch array<long>, shingles array<long>").dropDuplicates(["node"])
 
 
 def digest(found: DataFrame) -> DataFrame:
