@@ -9,7 +9,7 @@ The search keeps a window bounded by the longest piece: after each step it follo
 all positions from which a piece may still reach further. Where they meet, everything in front is
 final and its ids are given out. No piece goes across some places: from a letter to a mark, and
 around characters that are in no piece. All paths meet there, so the parts between them are
-searched separately, and equal parts are searched once for each task.
+searched separately, and equal parts are searched, and decoded again, once for each task.
 
 Defined cases: null text has null ids, no tokens and a null round trip; empty text has no ids and
 decodes to empty text. Texts of any length are encoded whole. Rows are independent of each other,
@@ -145,17 +145,46 @@ def search(text: str, words: Vocabulary):
             base = meet
 
 
+def search_window(text: str, words: Vocabulary) -> tuple[int, ...]:
+    """As `search`, for a text that fits into the window: no path has to end before the text does."""
+    tree, n = words.tree, len(text)
+    score, start, ids = [0.0] + [-_INFINITE] * n, [0] * (n + 1), [()] * (n + 1)
+    for begin in range(n):
+        so_far, node, place = score[begin], tree, begin
+        for c in text[begin:]:
+            if (step := node.get(c)) is None:
+                break
+            node, own, value = step
+            place += 1
+            if own is not None and so_far + value > score[place]:
+                score[place], start[place], ids[place] = so_far + value, begin, own
+        if score[begin + 1] == -_INFINITE or text[begin] not in tree:
+            spelt = as_bytes(text[begin])
+            value = so_far + words.byte_score * len(spelt)
+            if value > score[begin + 1]:
+                score[begin + 1], start[begin + 1], ids[begin + 1] = value, begin, tuple(words.byte_ids[b] for b in spelt)
+    path, at = [], n
+    while at:
+        path.append(ids[at])
+        at = start[at]
+    return tuple(chain.from_iterable(reversed(path)))
+
+
 class _Parts(dict):
-    """Ids of parts, searched when first asked for."""
+    """Ids of parts, searched and decoded again when first asked for."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
         self.words = words
+        self.broken: set[str] = set()  # parts that their ids do not give back
 
     def __missing__(self, part: str) -> tuple[int, ...]:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[part] = tuple(search(part, self.words))
+        short = len(part) <= 2 * self.words.longest
+        found = self[part] = search_window(part, self.words) if short else tuple(search(part, self.words))
+        if b"".join(map(self.words.decoded.__getitem__, found)) != as_bytes(part.replace(MARK, " ")):
+            self.broken.add(part)
         return found
 
 
@@ -166,18 +195,34 @@ class Encoder:
         self.split = re.compile(words.parts).findall if words.parts else lambda text: [text]
 
     def encode(self, text: str) -> np.ndarray:
+        return self.checked(text)[0]
+
+    def checked(self, text: str) -> tuple[np.ndarray, bool]:
+        """The ids, and whether they decode to the text.
+
+        Each part was decoded when it was searched, so that only their join has to be compared.
+        """
         if not text:
-            return np.zeros(0, np.int32)
+            return np.zeros(0, np.int32), True
         if MARK in text:  # spell the text's own marks as bytes
             spelt = [self.words.byte_ids[b] for b in MARK.encode()]
-            out = []
-            for k, part in enumerate(text.split(MARK)):
-                out += (spelt if k else []) + self._ids(("" if k else MARK) + part.replace(" ", MARK))
-            return np.array(out, np.int32)
-        return np.fromiter(self._ids(MARK + text.replace(" ", MARK)), np.int32)
-
-    def _ids(self, marked: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.split(marked)))) if marked else []
+            same = b"".join(self.words.decoded[i] for i in spelt) == MARK.encode()
+            out: list[int] = []
+            for k, between in enumerate(text.split(MARK)):
+                ids, own = self._ids(("" if k else MARK) + between.replace(" ", MARK))
+                out.extend((*(spelt if k else ()), *ids))
+                same = same and own
+            return np.array(out, np.int32), same
+        ids, same = self._ids(MARK + text.replace(" ", MARK))
+        return np.fromiter(ids, np.int32), same
+
+    def _ids(self, marked: str):
+        if not marked:
+            return (), True
+        parts = self.split(marked)
+        found = [self.known[part] for part in parts]
+        same = "".join(parts) == marked and self.known.broken.isdisjoint(parts)
+        return chain.from_iterable(found), same
 
 
 def decode(ids, words: Vocabulary) -> str:
@@ -206,8 +251,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", drop_text: b
                 batch = whole.slice(at, 256)
                 column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
                 texts = column[text].to_pylist()
-                ids = [None if t is None else encoder.encode(t) for t in texts]
-                same = [None if t is None else decode(i.tolist(), words) == t for t, i in zip(texts, ids, strict=True)]
+                ids, same = zip(*[(None, None) if t is None else encoder.checked(t) for t in texts], strict=True)
                 sizes = [0 if i is None else len(i) for i in ids]
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
                 flat = np.concatenate([np.zeros(0, np.int32), *(i for i in ids if i is not None)])
