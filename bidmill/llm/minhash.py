@@ -42,7 +42,7 @@ _BANDS = HASHES // ROWS
 _REMEMBERED = 1 << 20
 _REMEMBERED_BYTES = 64
 #: Members of a centre that one task compares with it, and members and shingles of a block of a bucket.
-_OF_CENTRE = 4096
+_OF_CENTRE = 512
 _BLOCK = 1024
 _BLOCK_SHINGLES = 1 << 19
 #: Shingles of a block that are looked at together.
