@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from bidmill.llm.common import as_bytes, mixed, span_hashes, stored
 
 LENGTH = 200
-PIECE = 100
+PIECE = 48
 MOST = 1000
 _CHUNK = 1 << 18
 _WINDOWS = 100_000
