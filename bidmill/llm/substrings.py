@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bidmill.llm.common import as_bytes, mixed, span_hashes, stored
+from bidmill.llm.common import as_bytes, mixed, settled, span_hashes, stored
 
 LENGTH = 200
 PIECE = 48
@@ -127,8 +127,7 @@ def _places(docs: DataFrame, length: int, piece: int) -> DataFrame:
 def _surroundings(docs: DataFrame, wanted: DataFrame, length: int, piece: int) -> DataFrame:
     """(anchor, around, key, mark, low, bytes) for the first place of each different surroundings.
 
-    docs has id, key, mark and text, as in the last join of `repeated`, so that both share one shuffle
-    of the texts. Documents that repeat id and text give their rows more than once.
+    Documents that repeat id and text give their rows more than once.
     """
     lists = wanted.groupBy(F.col("first.key").alias("_k"), F.col("first.mark").alias("_m")).agg(
         F.collect_list(F.struct("anchor", "around", F.col("first.p").alias("p"))).alias("asked")
@@ -272,11 +271,11 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     rows = named.select("key", "mark", "text")
     places = _places(rows, length, piece)
     shared = stored(spark, places.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
-    found = stored(spark, places.join(shared, "anchor"), "places")
+    found = settled(spark, places.join(shared, "anchor"), "places")
     place = F.struct("key", "mark", "p")
     # Different surroundings of an anchor, each with its first place.
     kinds = stored(spark, found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("first")), "kinds")
-    sizes = stored(spark, kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "sizes")
+    sizes = settled(spark, kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "sizes")
     mixed_kinds = kinds.join(sizes.where("kinds > 1").select("anchor"), "anchor")
     alike = kinds.join(sizes.where("kinds = 1").select("anchor"), "anchor")
     crowded = sizes.where(F.col("kinds") > MOST).select("anchor")
@@ -284,6 +283,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     results = _in_suffix_order(bytes_of.join(crowded, "anchor", "left_anti"), length)
     if not crowded.isEmpty():
         results = results.unionByName(_by_digest(bytes_of.join(crowded, "anchor", "left_semi"), length))
+    results = settled(spark, results, "matched")
     # Surroundings that match nothing else may have no row, and still occur more than once.
     results = mixed_kinds.select("anchor", "around", "n", "first").join(results, ["anchor", "around"], "left")
     results = results.withColumns({c: F.coalesce(c, F.array().cast(_RUNS)) for c in ("other", "earlier")})
@@ -301,6 +301,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     runs = F.transform(chosen, lambda r: F.struct((r["low"] + begin).alias("low"), (r["high"] + begin).alias("high")))
     spans = met.select("key", "mark", runs.alias("runs")).where(F.size("runs") > 0).distinct()
     spans = spans.groupBy(F.col("key").alias("_k"), F.col("mark").alias("_m")).agg(F.flatten(F.collect_list("runs")).alias("runs"))
+    spans = settled(spark, spans, "spans")
     joined = named.join(spans, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m")), "left")
     return joined.select("id", "text", "runs")
 
