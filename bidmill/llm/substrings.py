@@ -276,13 +276,13 @@ def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_fir
     # Different surroundings of an anchor, each with its first place.
     kinds = stored(spark, found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("first")), "kinds")
     sizes = settled(spark, kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "sizes")
-    mixed_kinds = kinds.join(sizes.where("kinds > 1").select("anchor"), "anchor")
+    mixed_kinds = kinds.join(sizes.where("kinds > 1"), "anchor")
     alike = kinds.join(sizes.where("kinds = 1").select("anchor"), "anchor")
-    crowded = sizes.where(F.col("kinds") > MOST).select("anchor")
-    bytes_of = _surroundings(named, mixed_kinds, length, piece)
-    results = _in_suffix_order(bytes_of.join(crowded, "anchor", "left_anti"), length)
-    if not crowded.isEmpty():
-        results = results.unionByName(_by_digest(bytes_of.join(crowded, "anchor", "left_semi"), length))
+    crowded = F.col("kinds") > MOST
+    # The texts are shuffled once for both, and each surroundings only goes to its own kind of comparison.
+    results = _in_suffix_order(_surroundings(named, mixed_kinds.where(~crowded), length, piece), length)
+    if not sizes.where(crowded).isEmpty():
+        results = results.unionByName(_by_digest(_surroundings(named, mixed_kinds.where(crowded), length, piece), length))
     results = settled(spark, results, "matched")
     # Surroundings that match nothing else may have no row, and still occur more than once.
     results = mixed_kinds.select("anchor", "around", "n", "first").join(results, ["anchor", "around"], "left")
