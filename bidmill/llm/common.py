@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 from functools import lru_cache
 
@@ -29,18 +28,6 @@ def stored(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def settled(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
-    """As `stored`, letting go of the shuffle files of this and earlier steps at once.
-
-    Spark removes the files of shuffles that nothing refers to any more, but only learns of them when the
-    driver collects garbage, which it rarely has to.
-    """
-    out = stored(spark, df, what)
-    gc.collect()
-    spark._jvm.System.gc()
-    return out
-
-
 def unused(df: DataFrame, name: str) -> str:
     """The name, with underscores in front until no column of the frame has it in any case."""
     taken = {c.lower() for c in df.columns}
