@@ -39,7 +39,6 @@ _SOUND, _CUT, _BLANK, _REPEAT, _GONE = range(5)
 _NONE, _SYSTEM, _USER, _ASSISTANT = range(4)
 _NEXT = (_USER, _USER, _ASSISTANT, _USER)
 _NAMES = {_USER: "user", _ASSISTANT: "assistant"}
-_ROLES = {"s": 0, "u": 1, "a": 2}
 _AFTER = {(_NONE, 0): _SYSTEM, (_NONE, 1): _USER, (_SYSTEM, 1): _USER, (_USER, 2): _ASSISTANT, (_ASSISTANT, 1): _USER}
 _END = 4
 
