@@ -1,22 +1,26 @@
 """Near-duplicate lines by a segment-partition edit join, in DataFrame functions only.
 
-Two lines match if at most `threshold` edits (of characters) turn one into the other. A line is cut
-into threshold + 1 segments; whatever the edits are, one segment of a matching line is free of
+Two lines match if few edits (of characters) turn one into the other: one for each started
+`chars_an_edit` characters of the shorter line, `threshold` at most. A line with t edits is cut into
+t + 1 segments; whatever the edits are, one segment of a matching line is free of
 them and stands at a place that is off by a few characters at most. So each line is indexed by its
 length and the text of each segment, and probes the index of its own and the next smaller lengths
-with its substrings at the possible places. Candidates are cut to where they differ, and verified with
-a bit-parallel edit distance over a band of 2 * threshold + 1 diagonals.
+with its substrings at the possible places: fewer edits than segments before it move a segment no further
+than that, and the same holds for those behind it. Candidates are cut to where they differ, and verified with
+a bit-parallel edit distance over a band of 2 * t + 1 diagonals.
 
-Segments that very many lines share are not paired up: lines of such buckets are cut finer, with all
-but `threshold` of the segments in the key, and if a bucket is still large for one edit, keys with a single
+Segments that very many lines share are not paired up: a line of each such bucket is compared with all
+others that it is not connected with yet, in a few rounds. Lines of buckets that this leaves in several components
+are cut finer, with all but t of the segments in the key. If such a bucket is still large for one edit, keys with a single
 character left out tell the matches themselves, so each line is linked with one other only. For more edits
-the finer buckets are paired up.
+the rounds are repeated; what is in different components of one bucket after that is compared pair by pair.
 
 Classes are the components of matching lines. The first line of each class, by document id and
 place, stays and the others go.
 
-Defined cases: lines of fewer than `least_chars` characters stay and match nothing. Null and empty
-texts have no lines. Rows that repeat both id and text are one document; null ids stand behind no
+Defined cases: lines of fewer than `least_chars` characters match equal lines only; their classes are told,
+but `without_repeats` leaves them, as blank lines and brackets repeat in any text. Null
+texts have no lines, an empty text has an empty one. Rows that repeat both id and text are one document; null ids stand behind no
 id, in the order of a hash of their texts. Only the newline ends a line. A document that
 loses all its lines goes in `without_repeats`. Extra columns stay.
 """
@@ -31,18 +35,30 @@ from pyspark.sql import functions as F
 from bidmill.llm.common import stored, unused
 from bidmill.llm.components import components
 
-THRESHOLD = 1
+#: Edits at most, and the characters of a line for each edit.
+THRESHOLD = 3
+CHARS_AN_EDIT = 40
 LEAST_CHARS = 20
 #: Lines of a bucket, times those that index it, up to which all its pairs are candidates.
 SMALL = 400
+#: Segments of the finer cut of crowded lines, by edits.
+FINER = {1: 16, 2: 6, 3: 6}
+#: Rounds in which one line of a bucket is compared with all others.
+ROUNDS = 2
 #: Characters of a block of a line in which the way around crowded buckets looks for one edit.
 BLOCK = 256
 
+_INDEX = 1 << 32
 
-def _lines(docs: DataFrame, doc_id: str, text: str, least_chars: int) -> DataFrame:
-    """(missing, key, mark, no, line) of all lines that can match."""
-    one = docs.select(*_doc_key(doc_id, text), F.posexplode(F.split(text, "\n")).alias("no", "line"))
-    return one.where(F.char_length("line") >= least_chars)
+
+def edits(length: Column, threshold: int = THRESHOLD, chars_an_edit: int = CHARS_AN_EDIT) -> Column:
+    """Edits that a line of the length may have."""
+    return F.least(F.lit(threshold), F.floor((length - 1) / chars_an_edit).cast("int") + 1)
+
+
+def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(missing, key, mark, no, line) of all lines."""
+    return docs.select(*_doc_key(doc_id, text), F.posexplode(F.split(text, "\n")).alias("no", "line"))
 
 
 def _doc_key(doc_id: str, text: str) -> list[Column]:
@@ -54,6 +70,28 @@ def _line_id() -> Column:
     return F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid")
 
 
+def _keys(lines: DataFrame, threshold: int) -> DataFrame:
+    """(lid, role, edits, bucket) for each index and probe key of the lines (lid, line).
+
+    Role 0 indexes a line by one of its segments; role 1 probes the index of as long and shorter lines.
+    """
+    size, line = F.col("size"), F.col("line")
+    made = []
+    for longer in range(threshold + 1):
+        length = size - longer
+        for t in range(max(1, longer), threshold + 1):
+            keys = []
+            for i in range(t + 1):
+                start, end = (F.floor((i + k) * length / (t + 1)).cast("int") for k in (0, 1))
+                for moved in range(max(-i, longer - t + i), min(i, longer + t - i) + 1):
+                    fits = (start + moved >= 0) & (end + moved <= size)
+                    bucket = F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, start + moved + 1, end - start)))
+                    keys.append(F.struct(F.lit(int(longer > 0 or moved != 0)).alias("role"), F.lit(t).alias("edits"), bucket.alias("bucket")))
+            made.append(F.when(edits(length, threshold) == t, F.array(*keys)))
+    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(F.flatten(F.array_compact(F.array(*made)))).alias("k"))
+    return keyed.select("lid", "k.role", "k.edits", "k.bucket").where("bucket is not null")
+
+
 def _profiles(segments: int, threshold: int) -> list[tuple[int, int, list[int], list[int]]]:
     """(role, difference of lengths, segments that may hold edits, offsets of the runs between them).
 
@@ -62,74 +100,118 @@ def _profiles(segments: int, threshold: int) -> list[tuple[int, int, list[int],
     """
     out = []
     for free in combinations(range(segments), threshold):
-        inner = [range(-threshold, threshold + 1) if free[i] + 1 < free[i + 1] else [0] for i in range(threshold - 1)]
+        apart = [free[i] + 1 < free[i + 1] for i in range(threshold - 1)]
+        inner = [range(-threshold, threshold + 1) if run else [0] for run in apart]
         for longer in range(threshold + 1):
             for moved in product(*inner):
-                if all(abs(m) + abs(longer - m) <= threshold or free[i] + 1 == free[i + 1] for i, m in enumerate(moved)):
+                places = [0, *[m for m, run in zip(moved, apart) if run], longer]
+                if sum(abs(b - a) for a, b in zip(places, places[1:])) <= threshold:
                     role = int(longer > 0 or any(moved))
                     out.append((role, longer, list(free), [0, *moved, longer]))
     return out
 
 
-def _keys(lines: DataFrame, segments: int, threshold: int) -> DataFrame:
-    """(lid, role, bucket) for each index and probe key of the lines (lid, line)."""
+def _finer_keys(lines: DataFrame, most: int, threshold: int) -> DataFrame:
+    """As `_keys`, for lines with `threshold` edits, with all segments of a finer cut but that many in each key."""
+    segments = FINER.get(threshold, 2 * threshold)
     profiles = _profiles(segments, threshold)
-    numbers = {tuple(p[2]): i for i, p in enumerate(profiles)}
+    numbers = {tuple(free): i for i, free in enumerate(combinations(range(segments), threshold))}
     size, line = F.col("size"), F.col("line")
 
-    def key(role, longer, number, free, moved) -> Column:
-        length = size - longer
-        runs = []
+    def key(p: Column) -> Column:
+        length = size - p["longer"]
+        free, moved = p["free"], p["moved"]
+        runs, fits = [], edits(length, most) == threshold
         for i in range(threshold + 1):
             start = F.floor((free[i - 1] + 1) * length / segments).cast("int") if i else F.lit(0)
             end = F.floor(free[i] * length / segments).cast("int") if i < threshold else length
-            run = F.substring(line, start + moved[i] + 1, end - start)
-            if i in (0, threshold):  # aligned with the ends of the line
-                runs.append(run)
-            else:
-                runs.append(F.when((start + moved[i] >= 0) & (end + moved[i] <= size), run))
-        fits = F.lit(True)
-        for run in runs[1:-1]:
-            fits &= run.isNotNull()
-        return F.struct(F.lit(role).alias("role") if isinstance(role, int) else role.alias("role"), F.when(fits, F.xxhash64(length, F.lit(segments), number, *runs)).alias("bucket"))
-
-    if len(profiles) <= 64:
-        made = F.array(*[key(role, longer, F.lit(numbers[tuple(free)]), free, moved) for role, longer, free, moved in profiles])
-    else:
-        literal = F.array(*[
-            F.struct(F.lit(role).alias("role"), F.lit(longer).alias("longer"), F.lit(numbers[tuple(free)]).alias("number"),
-                     F.array(*map(F.lit, free)).alias("free"), F.array(*map(F.lit, moved)).alias("moved"))
-            for role, longer, free, moved in profiles
-        ])
-        made = F.transform(literal, lambda p: key(p["role"], p["longer"], p["number"], p["free"], p["moved"]))
-    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(made).alias("k"))
-    return keyed.select("lid", "k.role", "k.bucket").where("bucket is not null")
-
-
-def _live(keys: DataFrame) -> DataFrame:
-    """Buckets with an index key and at least two different lines."""
-    lines = F.xxhash64("lid")
-    sums = keys.groupBy("bucket").agg(F.min(lines).alias("low"), F.max(lines).alias("high"), F.min("role").alias("role"))
-    return sums.where("low <> high and role = 0").select(F.col("bucket").alias("_b"))
+            runs.append(F.substring(line, start + moved[i] + 1, end - start))
+            if 0 < i < threshold:  # the others are aligned with the ends of the line
+                fits &= (start + moved[i] >= 0) & (end + moved[i] <= size)
+        return F.struct(p["role"].alias("role"), F.lit(threshold).alias("edits"), F.when(fits, F.xxhash64(length, F.lit(segments), p["number"], *runs)).alias("bucket"))
+
+    literal = F.array(*[
+        F.struct(F.lit(role).alias("role"), F.lit(longer).alias("longer"), F.lit(numbers[tuple(free)]).alias("number"),
+                 F.array(*map(F.lit, free)).alias("free"), F.array(*map(F.lit, moved)).alias("moved"))
+        for role, longer, free, moved in profiles
+    ])
+    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(F.transform(literal, key)).alias("k"))
+    return keyed.select("lid", "k.role", "k.edits", "k.bucket").where("bucket is not null")
 
 
 def _members(keys: DataFrame) -> DataFrame:
+    """The keys in buckets of several that hold an index key, for keys of different lines."""
     spark = keys.sparkSession
-    live = stored(spark, _live(keys), "live")
-    met = keys.join(live, F.col("bucket") == F.col("_b")).select("bucket", "lid", "role")
+    # One number a bucket, so that the shuffle of all keys stays small.
+    sums = keys.groupBy("bucket").agg(F.sum(F.when(F.col("role") == 0, F.lit(_INDEX + 1)).otherwise(F.lit(1))).alias("n"))
+    live = stored(spark, sums.where((F.col("n") >= _INDEX) & (F.col("n") % _INDEX > 1)).select(F.col("bucket").alias("_b")), "live")
+    met = keys.join(live, F.col("bucket") == F.col("_b")).select("bucket", "lid", "role", "edits")
     return stored(spark, met.distinct(), "members")
 
 
+def _pairs(named: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different labels in one bucket, one of them by an index key."""
+    a, b = named.where("role = 0").alias("a"), named.alias("b")
+    met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.label") != F.col("b.label")) & ((F.col("b.role") == 1) | (F.col("a.lid") < F.col("b.lid")))
+    return a.join(b, met).select(F.least("a.lid", "b.lid").alias("a"), F.greatest("a.lid", "b.lid").alias("b")).distinct()
+
+
 def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of the small buckets, and the lines (lid) of the large ones."""
+    """Members of the small buckets, and of the large ones."""
     spark = members.sparkSession
     sizes = members.groupBy("bucket").agg(F.sum(F.expr("int(role = 0)")).alias("index"), F.count("*").alias("all"))
     sized = members.join(stored(spark, sizes.withColumn("large", F.col("index") * F.col("all") > SMALL), "sizes"), "bucket")
-    small = sized.where("not large").select("bucket", "lid", "role")
-    a, b = small.where("role = 0").alias("a"), small.alias("b")
-    met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.lid") != F.col("b.lid")) & ((F.col("b.role") == 1) | (F.col("a.lid") < F.col("b.lid")))
-    pairs = a.join(b, met).select(F.least("a.lid", "b.lid").alias("a"), F.greatest("a.lid", "b.lid").alias("b")).distinct()
-    return pairs, sized.where("large").select("lid").distinct()
+    return tuple(sized.where(c).select(*members.columns) for c in ("not large", "large"))
+
+
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """The members with the components that links (a, b) give them."""
+    labels = stored(members.sparkSession, components(links), "labels")
+    met = members.join(labels, F.col("lid") == F.col("node"), "left")
+    return met.select(*members.columns, F.coalesce("component", "lid").alias("label"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of lines that match; `texts` holds each line (lid, line) once."""
+    spark = pairs.sparkSession
+    one = pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a")
+    two = one.join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
+    m, n = F.char_length("x"), F.char_length("y")
+    near = two.withColumn("edits", edits(F.least(m, n), threshold)).where(F.abs(m - n) <= F.col("edits"))
+    rest = _rest(near)
+    longer = F.char_length("x") >= F.char_length("y")
+    long, short = F.when(longer, F.col("x")).otherwise(F.col("y")), F.when(longer, F.col("y")).otherwise(F.col("x"))
+    # Written out, so that each step of the verification finds the characters ready.
+    rest = stored(spark, rest.select("a", "b", "edits", _characters(long).alias("x"), _characters(short).alias("y")), "rest")
+    match = F.lit(False)
+    for t in range(threshold, 0, -1):
+        match = F.when(F.col("edits") == t, within(F.col("x"), F.col("y"), t)).otherwise(match)
+    return rest.where(match).select("a", "b")
+
+
+def _by_centres(members: DataFrame, links: DataFrame, texts: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """More links, and the labelled members of buckets that they do not connect.
+
+    Each round compares one line of a bucket, first of all that with the most buckets, with all that it is not
+    connected with: the base of many near copies shares more segments with them than they do with each other.
+    """
+    spark = members.sparkSession
+    degrees = stored(spark, members.groupBy(F.col("lid").alias("_l")).agg(F.count("*").alias("degree")), "degrees")
+    members = stored(spark, members.join(degrees, F.col("lid") == F.col("_l")).drop("_l"), "members")
+    for n in range(ROUNDS + 1):
+        named = stored(spark, _labelled(members, links), "named")
+        order = F.struct(F.col("label") == F.col("lid"), F.col("degree"), F.xxhash64("lid", F.lit(n)))
+        centre = F.max_by(F.struct(F.col("lid").alias("c"), F.col("label").alias("l")), order)
+        mixed = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), centre.alias("centre"))
+        mixed = stored(spark, mixed.where("low <> high").select(F.col("bucket").alias("_b"), "centre"), "mixed")
+        met = named.join(mixed, F.col("bucket") == F.col("_b"))
+        members = stored(spark, met.select(*members.columns, "label", "centre"), "members")
+        if n == ROUNDS or members.isEmpty():
+            return links, members.drop("degree", "centre")
+        other = members.where("label <> centre.l")
+        pairs = other.select(F.least("lid", "centre.c").alias("a"), F.greatest("lid", "centre.c").alias("b"))
+        links = stored(spark, links.unionAll(_verified(stored(spark, pairs.distinct(), "pairs"), texts, threshold)), "links")
+        members = members.drop("label", "centre")
 
 
 def _one_edit(lines: DataFrame) -> DataFrame:
@@ -241,68 +323,73 @@ def within(rows: Column, columns: Column, threshold: int) -> Column:
     return F.when(far, False).when((m <= threshold) & (n <= threshold), True).when(n == 0, m <= threshold).otherwise(banded)
 
 
-def matches(lines: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) between different lines (lid, line), as many as the classes need.
-
-    Lines may repeat. Also gives the (lid, line) that were candidates.
-    """
+def matches(lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Verified links (a, b) between different lines (lid, line), as many as the classes need."""
     spark = lines.sparkSession
-    members = _members(_keys(lines, threshold + 1, threshold))
+    members = _members(_keys(lines, threshold))
     wanted = stored(spark, members.select("lid").distinct(), "wanted")
     # Met by shuffling at every size, so that the cost grows evenly.
-    texts = stored(spark, lines.join(wanted.hint("merge"), "lid").dropDuplicates(["lid"]), "texts")
-    pairs, crowded = _split(members)
-    finer = stored(spark, texts.join(stored(spark, crowded, "crowded"), "lid"), "finer")
-    more = _members(_keys(finer, 8 * (threshold + 1) if threshold < 3 else 2 * (threshold + 1), threshold))
-    more_pairs, crowded = _split(more)
-    pairs = pairs.unionAll(more_pairs)
-    left = stored(spark, finer.join(stored(spark, crowded, "crowded"), "lid"), "finest")
-    links = pairs.where("false")
-    if not left.isEmpty():
-        if threshold == 1:
-            links = _one_edit(left)
-        else:
-            a, b = (more.join(left.select("lid"), "lid", "left_semi").alias(n) for n in "ab")
-            met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.lid") < F.col("b.lid")) & (F.least("a.role", "b.role") == 0)
-            pairs = pairs.unionAll(a.join(b, met).select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
-    pairs = stored(spark, pairs.distinct(), "pairs")
-    one = pairs.join(texts.select(F.col("lid").alias("a"), F.col("line").alias("x")), "a")
-    two = one.join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
-    near = two.where(F.abs(F.char_length("x") - F.char_length("y")) <= threshold)
-    rest = _rest(near)
-    longer = F.char_length("x") >= F.char_length("y")
-    long, short = F.when(longer, F.col("x")).otherwise(F.col("y")), F.when(longer, F.col("y")).otherwise(F.col("x"))
-    # Written out, so that each step of the verification finds the characters ready.
-    rest = stored(spark, rest.select("a", "b", _characters(long).alias("x"), _characters(short).alias("y")), "rest")
-    verified = rest.where(within(F.col("x"), F.col("y"), threshold)).select("a", "b")
-    return stored(spark, verified.unionAll(links).distinct(), "links"), texts
+    texts = stored(spark, lines.join(wanted.hint("merge"), "lid"), "texts")
+    small, large = _split(members)
+    pairs = stored(spark, _pairs(small.withColumn("label", F.col("lid"))), "pairs")
+    links = stored(spark, _verified(pairs, texts, threshold), "links")
+    large = stored(spark, large, "large")
+    if large.isEmpty():
+        return links
+    found, large = _by_centres(large, links.where("false"), texts, threshold)
+    if not large.isEmpty():
+        found = _by_finer_keys(large, found, texts, threshold)
+    return stored(spark, links.unionAll(found).distinct(), "links")
+
+
+def _by_finer_keys(members: DataFrame, links: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Links that connect all matching lines of the buckets, given those so far."""
+    spark = members.sparkSession
+    finer = stored(spark, texts.join(members.select("lid", "edits").distinct(), "lid"), "finer")
+    keys = None
+    for t in range(1, threshold + 1):
+        own = _finer_keys(finer.where(F.col("edits") == t).drop("edits"), threshold, t)
+        keys = own if keys is None else keys.unionAll(own)
+    small, large = _split(stored(spark, _labelled(_members(keys), links), "named"))
+    pairs = stored(spark, _pairs(small), "pairs")
+    links = stored(spark, links.unionAll(_verified(pairs, texts, threshold)), "links")
+    large = stored(spark, large.drop("label"), "large")
+    one = texts.join(large.where("edits = 1").select("lid").distinct(), "lid")
+    if not one.isEmpty():
+        links = stored(spark, links.unionAll(_one_edit(one)), "links")
+    large = large.where("edits > 1")
+    if not large.isEmpty():
+        links, large = _by_centres(large, links, texts, threshold)
+        links = links.unionAll(_verified(stored(spark, _pairs(large), "pairs"), texts, threshold))
+    return links
 
 
 def repeats(docs: DataFrame, threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line that can match: (missing, key, mark, no) and `first`, that of the first of its class.
+    """Every line: (missing, key, mark, no), `long` if it can go, and `first`, that of the first of its class.
 
     `first` is null for lines that occur once and match no other.
     """
     spark = docs.sparkSession
-    lines = _lines(docs, doc_id, text, least_chars)
-    links, _ = matches(lines.select(_line_id(), "line"), threshold)
-    classes = stored(spark, components(links), "classes")
+    lines = _lines(docs, doc_id, text)
+    long = F.char_length("line") >= least_chars
+    different = stored(spark, lines.where(long).select(_line_id(), "line").dropDuplicates(["lid"]), "different")
+    classes = stored(spark, components(matches(different, threshold)), "classes")
     place = F.struct("missing", "key", "mark", "no")
     firsts = lines.groupBy(_line_id()).agg(F.min(place).alias("first"), F.max(place).alias("last"))
     of_line = stored(spark, firsts.join(classes, F.col("lid") == F.col("node"), "left").where("component is not null or first <> last").select("lid", "component", "first"), "firsts")
     least = of_line.where("component is not null").groupBy("component").agg(F.min("first").alias("least"))
     of_line = of_line.join(stored(spark, least, "least"), "component", "left").select(F.col("lid").alias("_l"), F.coalesce("least", "first").alias("first"))
     of_line = stored(spark, of_line, "firsts")
-    placed = lines.select("missing", "key", "mark", "no", _line_id())
+    placed = lines.select("missing", "key", "mark", "no", long.alias("long"), _line_id())
     return placed.join(of_line, F.col("lid") == F.col("_l"), "left").drop("lid", "_l")
 
 
 def _goes() -> Column:
-    return F.coalesce(F.col("first") != F.struct("missing", "key", "mark", "no"), F.lit(False))
+    return F.col("long") & F.coalesce(F.col("first") != F.struct("missing", "key", "mark", "no"), F.lit(False))
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """A row for each line that can match, with the place of the first line of its class."""
+    """A row for each line, with the place of the first line of its class, and whether it stays."""
     def own(key: str, missing: str) -> Column:
         return F.when(~F.col(missing), F.col(key))
 

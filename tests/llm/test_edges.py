@@ -264,6 +264,69 @@ def test_long_crowded_lines_are_linked(spark, tmp_path):
     assert len(found) == 25 and all(x.class_doc_id == 0 for x in found) and sum(x.kept for x in found) == 1
 
 
+def edited(r, line, n):
+    for _ in range(n):
+        k, i = r.randrange(3), r.randrange(len(line))
+        line = line[:i] + ("", "\u00e9", "z" + line[i])[k] + line[i + 1 :]
+    return line
+
+
+def connected(lines, pairs):
+    of = {x: {x} for x in lines}
+    for a, b in pairs:
+        if of[a] is not of[b]:
+            of[a] |= of[b]
+            for x in of[b]:
+                of[x] = of[a]
+    return {frozenset(c) for c in of.values()}
+
+
+@pytest.mark.parametrize("small", [line_dedup.SMALL, 4])
+def test_lines_of_several_edits_against_all_pairs(spark, tmp_path, monkeypatch, small):
+    """Each number of edits, around the lengths where it changes, with small and with crowded buckets."""
+    monkeypatch.setattr(line_dedup, "SMALL", small)
+    r = random.Random(13)
+    lines = {"a" * n for n in (30, 31, 60, 62, 90, 93)} | {"ab" * n for n in (20, 21, 41, 42, 60)}
+    for size in (25, 39, 40, 41, 79, 80, 81, 83, 120):
+        for _ in range(3):
+            base = "".join(r.choices("abcde f", k=size))
+            lines |= {base} | {edited(r, base, n) for n in (1, 1, 2, 2, 3, 3, 4)}
+    lines = sorted(x for x in lines if len(x) >= 20)
+    rows = frame(spark, tmp_path, [(x,) for x in lines], "line string", "c").select(line_dedup._line_id(), "line")
+    text = {bytes(x.lid): x.line for x in rows.collect()}
+    found = {tuple(sorted((text[bytes(x.a)], text[bytes(x.b)]))) for x in line_dedup.matches(rows).collect()}
+    allowed = line_dedup.edits(F.least(F.char_length("a"), F.char_length("b")))
+    pairs = frame(spark, tmp_path, [(a, b) for a in lines for b in lines if a < b], "a string, b string", "n")
+    expected = {tuple(x) for x in pairs.where(F.levenshtein("a", "b") <= allowed).collect()}
+    assert {line_dedup.THRESHOLD} <= {len(a) // 40 + 1 for a, _ in expected}
+    assert found <= expected and connected(lines, found) == connected(lines, expected)
+    if small > 4:
+        assert found == expected
+
+
+def test_near_lines_of_one_base_are_not_paired_up(spark, tmp_path, monkeypatch):
+    """400 lines, each three edits away from a base: 79,800 pairs, of which few are compared."""
+    r = random.Random(14)
+    base = "".join(r.choices("abcdefgh ", k=160))
+    lines = sorted({base} | {edited(r, base, 3) for _ in range(400)})
+    compared, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    docs = frame(spark, tmp_path, list(enumerate(lines)), "doc_id long, text string", "d")
+    found = line_dedup.digest(line_dedup.repeats(docs)).collect()
+    assert len(found) == len(lines) and sum(x.kept for x in found) == 1
+    assert sum(compared) < 4_000
+
+
+def test_short_lines_are_reported_and_stay(spark, tmp_path):
+    docs = frame(spark, tmp_path, [(1, "short line\n\n" + PROSE), (2, "short line\n\n" + PROSE + "!"), (3, ""), (4, "short lin")], "doc_id long, text string", "s")
+    found = {(x.doc_id, x.line_no): (x.class_doc_id, x.class_line_no, x.kept) for x in line_dedup.digest(line_dedup.repeats(docs)).collect()}
+    assert found == {
+        (1, 0): (1, 0, True), (1, 1): (1, 1, True), (1, 2): (1, 2, True), (2, 0): (1, 0, True), (2, 1): (1, 1, True), (2, 2): (1, 2, False),
+        (3, 0): (1, 1, True), (4, 0): (4, 0, True),
+    }
+    assert {(x.doc_id, x.text) for x in line_dedup.without_repeats(docs).collect()} == {(1, "short line\n\n" + PROSE), (2, "short line\n"), (3, ""), (4, "short lin")}
+
+
 @pytest.mark.parametrize(("percent", "bands"), [(85, 2.1e-8), (80, 3.3e-6)])
 def test_signatures_miss_less_than_bands(percent, bands):
     from math import comb

@@ -122,32 +122,31 @@ def test_toxic_documents(database, result):
     assert sum(toxic[d] == bool(t) for d, t in labels) >= 0.9 * len(labels)
 
 
-def test_lines(documents, result):
-    def near(a, b):
-        if abs(len(a) - len(b)) > 1:
-            return False
-        n = 0
-        while n < min(len(a), len(b)) and a[n] == b[n]:
-            n += 1
-        return a[n + (len(a) >= len(b)) :] == b[n + (len(b) >= len(a)) :]
-
+def test_lines(spark, documents, result):
     places = {}
     for doc, text, _ in sorted(documents):
-        for no, line in enumerate((text or "").split("\n")):
-            if len(line) >= 20:
-                places.setdefault(line, []).append((doc, no))
+        for no, line in enumerate(text.split("\n") if text is not None else []):
+            places.setdefault(line, []).append((doc, no))
     parent = {line: line for line in places}
 
     def root(line):
-        return line if parent[line] == line else root(parent[line])
+        while parent[line] != line:
+            line = parent[line]
+        return line
 
-    lines = sorted(places, key=lambda x: places[x][0])
-    for i, a in enumerate(lines):
-        for b in lines[i + 1 :]:
-            if near(a, b):
-                x, y = sorted((root(a), root(b)), key=lambda z: places[z][0])
-                parent[y] = x
-    expected = [(*p, *places[root(line)][0], p == places[root(line)][0]) for line in lines for p in places[line]]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE lines (line VARCHAR)")
+    con.executemany("INSERT INTO lines VALUES (?)", [(line,) for line in places if len(line) >= 20])
+    near = con.execute("""
+        SELECT a.line, b.line FROM lines a JOIN lines b ON length(b.line) BETWEEN length(a.line) AND length(a.line) + 3
+        AND a.line <> b.line AND length(b.line) - length(a.line) <= least(3, 1 + (length(a.line) - 1) // 40)
+        WHERE levenshtein(a.line, b.line) <= least(3, 1 + (length(a.line) - 1) // 40)
+    """).fetchall()
+    assert near
+    for a, b in near:
+        x, y = sorted((root(a), root(b)), key=lambda z: places[z][0])
+        parent[y] = x
+    expected = [(*p, *places[root(line)][0], p == places[root(line)][0] or len(line) < 20) for line in places for p in places[line]]
     assert sorted(result("op2_line_dedup")) == sorted(expected)
 
 
