@@ -16,7 +16,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first of lines that are equal but for one edit; drop documents with no line left."""
+    """Keep the first of lines that are equal but for a few edits; drop documents with no line left."""
     return line_dedup.without_repeats(docs)
 
 
