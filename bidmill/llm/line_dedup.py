@@ -43,6 +43,8 @@ LEAST_CHARS = 20
 SMALL = 400
 #: Segments of the finer cut of crowded lines, by edits.
 FINER = {1: 16, 2: 6, 3: 6}
+#: Buckets up to which their hashes (8 bytes each) are sent to all tasks; more are met by shuffling the keys.
+BROADCAST = 4_000_000
 #: Rounds in which one line of a bucket is compared with all others.
 ROUNDS = 2
 #: Characters of a block of a line in which the way around crowded buckets looks for one edit.
@@ -145,7 +147,9 @@ def _members(keys: DataFrame) -> DataFrame:
     # One number a bucket, so that the shuffle of all keys stays small.
     sums = keys.groupBy("bucket").agg(F.sum(F.when(F.col("role") == 0, F.lit(_INDEX + 1)).otherwise(F.lit(1))).alias("n"))
     live = stored(spark, sums.where((F.col("n") >= _INDEX) & (F.col("n") % _INDEX > 1)).select(F.col("bucket").alias("_b")), "live")
-    met = keys.join(live, F.col("bucket") == F.col("_b")).select("bucket", "lid", "role", "edits")
+    # The keys are many more than those that meet, so they are not shuffled again while that can be had.
+    few = F.broadcast(live) if live.count() <= BROADCAST else live
+    met = keys.join(few, F.col("bucket") == F.col("_b")).select("bucket", "lid", "role", "edits")
     return stored(spark, met.distinct(), "members")
 
 
