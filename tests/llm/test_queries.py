@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from bidmill.llm import oracle, queries
 from bidmill.llm.common import stored
@@ -134,15 +135,11 @@ def test_lines(spark, documents, result):
             line = parent[line]
         return line
 
-    con = duckdb.connect()
-    con.execute("CREATE TABLE lines (line VARCHAR)")
-    con.executemany("INSERT INTO lines VALUES (?)", [(line,) for line in places if len(line) >= 20])
-    near = con.execute("""
-        SELECT a.line, b.line FROM lines a JOIN lines b ON length(b.line) BETWEEN length(a.line) AND length(a.line) + 3
-        AND a.line <> b.line AND length(b.line) - length(a.line) <= least(3, 1 + (length(a.line) - 1) // 40)
-        WHERE levenshtein(a.line, b.line) <= least(3, 1 + (length(a.line) - 1) // 40)
-    """).fetchall()
-    assert near
+    # Characters count, not bytes.
+    lines = spark.createDataFrame([(line, len(line)) for line in places if len(line) >= 20], "line string, size int")
+    a, b = lines.selectExpr("line AS a", "size AS m"), lines.selectExpr("line AS b", "size AS n")
+    met = a.join(b, F.expr("n BETWEEN m AND m + 3 AND a <> b")).withColumn("most", F.expr("least(3, 1 + (m - 1) div 40)"))
+    near = met.where("levenshtein(a, b, 3) BETWEEN 0 AND most").select("a", "b").collect()
     for a, b in near:
         x, y = sorted((root(a), root(b)), key=lambda z: places[z][0])
         parent[y] = x
