@@ -72,26 +72,33 @@ def _line_id() -> Column:
     return F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid")
 
 
+def _shapes(longer: int, t: int) -> Column:
+    """(difference of lengths, edits, number of the segment, how far it is moved) of the keys of lines that index t + 1 segments."""
+    return F.array(*[
+        F.struct(F.lit(longer).alias("longer"), F.lit(t).alias("edits"), F.lit(i).alias("i"), F.lit(moved).alias("moved"))
+        for i in range(t + 1)
+        for moved in range(max(-i, longer - t + i), min(i, longer + t - i) + 1)
+    ])
+
+
 def _keys(lines: DataFrame, threshold: int) -> DataFrame:
     """(lid, role, edits, bucket) for each index and probe key of the lines (lid, line).
 
     Role 0 indexes a line by one of its segments; role 1 probes the index of as long and shorter lines.
+    A row for each key comes first, so that one short expression makes them all: written out for each
+    key, it is too long to be compiled. Segments of ASCII lines are cut as bytes, which needs no walk to their place.
     """
-    size, line = F.col("size"), F.col("line")
-    made = []
-    for longer in range(threshold + 1):
-        length = size - longer
-        for t in range(max(1, longer), threshold + 1):
-            keys = []
-            for i in range(t + 1):
-                start, end = (F.floor((i + k) * length / (t + 1)).cast("int") for k in (0, 1))
-                for moved in range(max(-i, longer - t + i), min(i, longer + t - i) + 1):
-                    fits = (start + moved >= 0) & (end + moved <= size)
-                    bucket = F.when(fits, F.xxhash64(length, F.lit(i), F.substring(line, start + moved + 1, end - start)))
-                    keys.append(F.struct(F.lit(int(longer > 0 or moved != 0)).alias("role"), F.lit(t).alias("edits"), bucket.alias("bucket")))
-            made.append(F.when(edits(length, threshold) == t, F.array(*keys)))
-    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(F.flatten(F.array_compact(F.array(*made)))).alias("k"))
-    return keyed.select("lid", "k.role", "k.edits", "k.bucket").where("bucket is not null")
+    size, line, shape = F.col("size"), F.col("line"), F.col("shape")
+    own = [F.when(edits(size - longer, threshold) == t, _shapes(longer, t)) for longer in range(threshold + 1) for t in range(max(1, longer), threshold + 1)]
+    sized = lines.withColumns({"size": F.char_length("line"), "ascii": F.char_length("line") == F.octet_length("line")})
+    rows = sized.select("lid", "line", "size", "ascii", F.explode(F.flatten(F.array_compact(F.array(*own)))).alias("shape"))
+    rows = rows.withColumn("length", size - shape["longer"])
+    start, end = (F.floor((shape["i"] + k) * F.col("length") / (shape["edits"] + 1)).cast("int") + shape["moved"] for k in (0, 1))
+    rows = rows.withColumns({"start": start, "end": end}).where("start >= 0 and end <= size")
+    place, width = F.col("start") + 1, F.col("end") - F.col("start")
+    segment = F.when(F.col("ascii"), F.substring(line.cast("binary"), place, width)).otherwise(F.substring(line, place, width).cast("binary"))
+    role = ((shape["longer"] > 0) | (shape["moved"] != 0)).cast("int")
+    return rows.select("lid", role.alias("role"), shape["edits"].alias("edits"), F.xxhash64("length", shape["i"], segment).alias("bucket"))
 
 
 def _profiles(segments: int, threshold: int) -> list[tuple[int, int, list[int], list[int]]]:
