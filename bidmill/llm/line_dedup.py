@@ -47,6 +47,8 @@ FINER = {1: 16, 2: 6, 3: 6}
 BROADCAST = 4_000_000
 #: Rounds in which one line of a bucket is compared with all others.
 ROUNDS = 2
+#: Characters after which the verification of a pair may be abandoned.
+PROBE = 24
 #: Characters of a block of a line in which the way around crowded buckets looks for one edit.
 BLOCK = 256
 
@@ -290,6 +292,10 @@ def within(rows: Column, columns: Column, threshold: int) -> Column:
     The first array is the longer one. Both should be plain columns, as each step looks them up.
     Bit k of the vectors stands for the row that is k - threshold under the diagonal. The distance
     is followed along the lowest diagonal of the band to the last row, then along that row.
+
+    Pairs that differ by far are abandoned after PROBE columns: a path of at most `threshold` edits that stands k
+    under the diagonal there, -threshold <= k, is threshold - k steps from the place that is followed, so the
+    distance at that place is at most 3 * threshold.
     """
     band = 2 * threshold + 1
     full = (1 << band) - 1
@@ -329,7 +335,11 @@ def within(rows: Column, columns: Column, threshold: int) -> Column:
         return F.transform(with_h, lambda t: one(t, t))[0]
 
     first = F.struct(F.lit(full & ~((1 << threshold) - 1)).cast("long").alias("vp"), F.lit(0).cast("long").alias("vn"), F.lit(threshold).cast("long").alias("d"))
-    banded = F.aggregate(F.sequence(F.lit(1), n), first, advance, lambda s: s["d"] <= threshold)
+
+    def distance(upto: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1), upto), first, advance, lambda s: s["d"])
+
+    banded = F.when((n > PROBE) & (distance(F.lit(PROBE)) > 3 * threshold), False).otherwise(distance(n) <= threshold)
     far = F.abs(m - n) > threshold
     return F.when(far, False).when((m <= threshold) & (n <= threshold), True).when(n == 0, m <= threshold).otherwise(banded)
 

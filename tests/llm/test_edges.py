@@ -199,6 +199,28 @@ def test_edit_distance_in_a_band(spark, tmp_path):
         assert all(x.w == x.l for x in rows)
 
 
+def test_edit_distance_of_pairs_that_may_be_abandoned(spark, tmp_path):
+    """Edits massed before, at and behind the place where a pair may be abandoned, and pairs that differ by far."""
+    r = random.Random(5)
+    pairs = []
+    for k in range(400):
+        a = "".join(r.choices("ab" if k % 2 else "abcdefgh é", k=r.randrange(line_dedup.PROBE - 3, 3 * line_dedup.PROBE)))
+        if k % 8 == 0:
+            b = "".join(r.choices("abcdefgh é", k=len(a)))
+        else:
+            at = min(r.choice((1, line_dedup.PROBE - 4, line_dedup.PROBE + 4)), len(a) - 8)
+            b = a[: at - 1] + edited(r, a[at - 1 : at + 7], r.randrange(5)) + a[at + 7 :]
+        pairs.append(tuple(sorted((a, b), key=len, reverse=True)))
+    pairs += [("xyz" + "abcd" * 20, "abcd" * 20), ("abcd" * 20 + "xyz", "abcd" * 20), ("xyz" + "abcd" * 20, "abcd" * 20 + "xyz")]
+    df = frame(spark, tmp_path, pairs, "x string, y string", "d").select("x", "y", line_dedup._characters(F.col("x")).alias("a"), line_dedup._characters(F.col("y")).alias("b"))
+    df.write.parquet(path := str(tmp_path / "chars"))
+    df = spark.read.parquet(path)
+    for n in (1, 2, 3):
+        rows = df.select(line_dedup.within(F.col("a"), F.col("b"), n).alias("w"), (F.levenshtein("x", "y") <= n).alias("l")).collect()
+        assert all(x.w == x.l for x in rows)
+        assert any(x.w for x in rows) and not all(x.w for x in rows)
+
+
 def test_words_longer_than_a_piece(monkeypatch):
     from bidmill.llm import common
 
