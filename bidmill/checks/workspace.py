@@ -32,7 +32,7 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
 @cache
 def _store_path(spark: SparkSession, sf_dir: str) -> str:
     path = new_folder(spark, "store")
-    build_store(ad_events(spark, sf_dir), path)
+    build_store(ad_events(spark, sf_dir, spread=True), path)
     return path
 
 

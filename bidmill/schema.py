@@ -16,6 +16,9 @@ EVENT_COLUMNS = (
 )
 PRICES = ("bid_price", "total_price")
 
+# Where a row stood in its source, if it was dealt to another task since; not a column of events.
+POSITION = "_position"
+
 RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
 

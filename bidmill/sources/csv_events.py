@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from bidmill.functions.casts import epoch_millis, lenient_int, strict_number
 from bidmill.functions.timekeys import local_time, time_key
-from bidmill.schema import EVENT_COLUMNS, LOCAL_ZONE, RAW_COLUMNS, RAW_SCHEMA
+from bidmill.schema import EVENT_COLUMNS, LOCAL_ZONE, POSITION, RAW_COLUMNS, RAW_SCHEMA
 
 
 # Files whose first lines are read at the same time.
@@ -61,10 +61,11 @@ def clean_events(
 
 
 def add_time_keys(typed: DataFrame, zone: str) -> DataFrame:
-    """Events with the time keys of ``ts`` in ``zone``, in event column order."""
+    """Events with the time keys of ``ts`` in ``zone``, in event column order; positions stay."""
     keys = [f"{time_key(key, '_local')} AS {key}" for key in ("week", "day", "hour", "minute")]
     timed = typed.selectExpr("*", f"{local_time('ts', zone)} AS _local")
-    return timed.selectExpr("*", *keys).select(*EVENT_COLUMNS)
+    position = [POSITION] if POSITION in typed.columns else []
+    return timed.selectExpr("*", *keys).select(*EVENT_COLUMNS, *position)
 
 
 def _reader(spark: SparkSession):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bidmill.functions.timekeys import NTZ
-from bidmill.schema import EVENT_TYPES
+from bidmill.schema import EVENT_TYPES, POSITION
 
 DATE_KEYS = ("week", "day", "month")
 
@@ -52,7 +52,8 @@ def write_by_type(
     filter on day (and country) leaves most files and row groups unread. The row position
     comes last in the range key: equal keys, even whole copies of one row, may then fall
     into different ranges, and no hot group has to fit into one task. Positions repeat when
-    a task is run again as long as ``events`` starts from files, not from another shuffle.
+    a task is run again as long as ``events`` starts from files, not from another shuffle; rows that
+    were dealt out since bring theirs in the column ``POSITION``.
     Events of any type are kept, NULL included. With the number of ``rows`` known, the number of
     ranges follows from it; otherwise it is that of the session's shuffles.
     """
@@ -60,12 +61,13 @@ def write_by_type(
     if rows is not None:
         at_least = min(events.sparkSession.sparkContext.defaultParallelism, -(-rows // 10_000))
         ranges = [max(1, at_least, -(-rows // ROWS_PER_RANGE))]
+    placed = _dates_stored(events)
+    if POSITION not in events.columns:
+        placed = placed.withColumn(POSITION, F.monotonically_increasing_id())
     (
-        _dates_stored(events)
-        .withColumn("_position", F.monotonically_increasing_id())
-        .repartitionByRange(*ranges, *SORT_KEYS, "_position")
+        placed.repartitionByRange(*ranges, *SORT_KEYS, POSITION)
         .sortWithinPartitions(*SORT_KEYS)
-        .drop("_position")
+        .drop(POSITION)
         .write.mode(mode)
         .option("partitionOverwriteMode", "static")  # no folder of an earlier write survives
         .options(**_ID_FILTERS)

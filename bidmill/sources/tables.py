@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidmill.schema import LOCAL_ZONE, RAW_COLUMNS
+from bidmill.schema import LOCAL_ZONE, POSITION, RAW_COLUMNS
 from bidmill.sources.csv_events import add_time_keys
 
 # The file holds naive UTC times; read as instants they need no further conversion.
@@ -28,11 +28,16 @@ _JOINED = (
 )
 
 
-def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed ad events, one per row of the ``events`` table, with decimal prices."""
-    typed = _joined(spark, sf_dir).selectExpr(
+def ad_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Typed ad events, one per row of the ``events`` table, with decimal prices.
+
+    With ``spread``, rows are dealt to all tasks before they are typed, so that a file of few row
+    groups is not left to as few tasks. Rows keep their position in the file for ``write_by_type``.
+    """
+    position = [POSITION] if spread else []
+    typed = _joined(spark, sf_dir, spread).selectExpr(
         "ts", "type", "cast(user_id AS int) AS advertiser_id",
-        "cast(publisher_id AS int) AS publisher_id", "bid_price", "total_price", "country",
+        "cast(publisher_id AS int) AS publisher_id", "bid_price", "total_price", "country", *position,
     )
     return add_time_keys(typed, LOCAL_ZONE)
 
@@ -47,9 +52,11 @@ def raw_ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.selectExpr(*[f"cast({c} AS string) AS {c}" for c in RAW_COLUMNS])
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _joined(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     events = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
+    if spread:
+        events = events.withColumn(POSITION, F.monotonically_increasing_id()).repartition(POSITION)
     nation = spark.read.schema(_NATION).parquet(f"{sf_dir}/nation.parquet")
     # No broadcast hint: Spark broadcasts nation only if its size is under the threshold.
     joined = events.join(nation, F.expr("n_nationkey = event_id % 25"), "left")
-    return joined.selectExpr(*_JOINED)
+    return joined.selectExpr(*_JOINED, *([POSITION] if spread else []))

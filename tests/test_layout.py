@@ -3,12 +3,14 @@
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from helpers import IMPRESSIONS, condition, plan_text, rows, same_rows
 from pyspark.sql import functions as F
 
-from bidmill import read_by_type, run_spec, write_by_type
+from bidmill import ad_events, read_by_type, run_spec, write_by_type
+from bidmill.schema import POSITION
 
 
 @pytest.fixture(scope="module")
@@ -122,3 +124,40 @@ def test_a_hot_group_is_cut_into_several_files(spark, tmp_path):
 
 def _files_read(df):
     return [r[0] for r in df.select(F.input_file_name()).distinct().collect()]
+
+
+def test_rows_that_were_dealt_out_bring_their_positions(spark, events, tmp_path):
+    """Copies of a row are cut by the position in the source, which is not written."""
+    path = str(tmp_path / "dealt")
+    copies = events.limit(1).crossJoin(spark.range(40_000)).withColumn(POSITION, F.col("id")).drop("id")
+    write_by_type(copies, path, rows=40_000)
+    assert len(list(Path(path).rglob("*.parquet"))) > 1
+    back = read_by_type(spark, path)
+    assert set(back.columns) == set(events.columns)
+    assert back.count() == 40_000
+
+
+def test_one_row_group_is_typed_by_several_tasks(spark, tmp_path):
+    """The store's events are dealt to all tasks before they are typed."""
+    n = 500
+    table = pa.table({
+        "event_id": [None if i % 50 == 0 else i for i in range(n)],
+        "ts": pa.array([datetime(2024, 1, 1 + i % 28, i % 24) for i in range(n)], pa.timestamp("us")),
+        "user_id": [i % 9 for i in range(n)],
+        "event_type": [("view", "signup", "click", None)[i % 4] for i in range(n)],
+        "value": [i / 4 for i in range(n)],
+        "props": [f'{{"k": {i % 7}}}' for i in range(n)],
+    })
+    pq.write_table(table, tmp_path / "events.parquet", row_group_size=n)
+    nations = {"n_nationkey": pa.array(range(25), pa.int32()), "n_name": [f"N{i}" for i in range(25)]}
+    pq.write_table(pa.table(nations), tmp_path / "nation.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would join small partitions
+    try:
+        spread = ad_events(spark, str(tmp_path), spread=True)
+        tasks = spread.groupBy(F.spark_partition_id()).count().count()
+        whole = ad_events(spark, str(tmp_path))
+        same_rows(spread.drop(POSITION), whole)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert tasks > 1
+    assert spread.select(POSITION).distinct().count() == n
