@@ -171,21 +171,22 @@ def search_window(text: str, words: Vocabulary) -> tuple[int, ...]:
 
 
 class _Parts(dict):
-    """Ids of parts, searched and decoded again when first asked for."""
+    """Ids of parts (as the bytes of 32-bit numbers), searched and decoded again when first asked for."""
 
     def __init__(self, words: Vocabulary):
         super().__init__()
         self.words = words
         self.broken: set[str] = set()  # parts that their ids do not give back
 
-    def __missing__(self, part: str) -> tuple[int, ...]:
+    def __missing__(self, part: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
         short = len(part) <= 2 * self.words.longest
-        found = self[part] = search_window(part, self.words) if short else tuple(search(part, self.words))
+        found = search_window(part, self.words) if short else tuple(search(part, self.words))
         if b"".join(map(self.words.decoded.__getitem__, found)) != as_bytes(part.replace(MARK, " ")):
             self.broken.add(part)
-        return found
+        packed = self[part] = np.array(found, np.int32).tobytes()
+        return packed
 
 
 class Encoder:
@@ -207,22 +208,23 @@ class Encoder:
         if MARK in text:  # spell the text's own marks as bytes
             spelt = [self.words.byte_ids[b] for b in MARK.encode()]
             same = b"".join(self.words.decoded[i] for i in spelt) == MARK.encode()
-            out: list[int] = []
-            for k, between in enumerate(text.split(MARK)):
-                ids, own = self._ids(("" if k else MARK) + between.replace(" ", MARK))
-                out.extend((*(spelt if k else ()), *ids))
+            out: list[bytes] = []
+            for between in text.split(MARK):
+                ids, own = self._ids(("" if out else MARK) + between.replace(" ", MARK))
+                out.append(ids)
                 same = same and own
-            return np.array(out, np.int32), same
+            return np.frombuffer(np.array(spelt, np.int32).tobytes().join(out), np.int32), same
         ids, same = self._ids(MARK + text.replace(" ", MARK))
-        return np.fromiter(ids, np.int32), same
+        return np.frombuffer(ids, np.int32), same
 
-    def _ids(self, marked: str):
+    def _ids(self, marked: str) -> tuple[bytes, bool]:
+        """The ids as the bytes of 32-bit numbers, joined by part and not by id, and whether they decode to the text."""
         if not marked:
-            return (), True
+            return b"", True
         parts = self.split(marked)
-        found = [self.known[part] for part in parts]
-        same = "".join(parts) == marked and self.known.broken.isdisjoint(parts)
-        return chain.from_iterable(found), same
+        found = b"".join(map(self.known.__getitem__, parts))
+        broken = self.known.broken
+        return found, "".join(parts) == marked and (not broken or broken.isdisjoint(parts))
 
 
 def decode(ids, words: Vocabulary) -> str:

@@ -73,3 +73,12 @@ def test_long_texts_and_words():
     text = ("word " * 20_000 + "x" * 30_000 + "\n" + "é漢" * 5_000) * 2
     ids, same = words.encoder.checked(text)
     assert same and pieces.decode(ids.tolist(), words) == text
+
+
+def test_ids_are_joined_by_part():
+    """The ids of a text are those of its parts, and marks of its own are spelt."""
+    words = pieces.load()
+    for text in ("two words", "a▁b ▁▁ c", "▁", "\n x\n", "é😀"):
+        ids, same = words.encoder.checked(text)
+        assert same and ids.dtype == "int32" and pieces.decode(ids.tolist(), words) == text
+        assert all(isinstance(part, bytes) for part in words.encoder.known.values())
