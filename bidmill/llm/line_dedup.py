@@ -6,14 +6,16 @@ t + 1 segments; whatever the edits are, one segment of a matching line is free o
 them and stands at a place that is off by a few characters at most. So each line is indexed by its
 length and the text of each segment, and probes the index of its own and the next smaller lengths
 with its substrings at the possible places: fewer edits than segments before it move a segment no further
-than that, and the same holds for those behind it. Candidates are cut to where they differ, and verified with
-a bit-parallel edit distance over a band of 2 * t + 1 diagonals.
+than that, and the same holds for those behind it. Segments are cut for lengths that are rounded down, with a tail in none of them,
+so that a line shares most keys of the lengths it probes for. Candidates of usual length first pass Spark's own distance with a
+bound; what is left is cut to where it differs, and verified with a bit-parallel edit distance over a band of 2 * t + 1 diagonals.
 
 Segments that very many lines share are not paired up: a line of each such bucket is compared with all
 others that it is not connected with yet, in a few rounds. Lines of buckets that this leaves in several components
 are cut finer, with all but t of the segments in the key. If such a bucket is still large for one edit, keys with a single
 character left out tell the matches themselves, so each line is linked with one other only. For more edits
-the rounds are repeated; what is in different components of one bucket after that is compared pair by pair.
+the rounds are repeated; what is in different components of one bucket after that is met pair by pair, where counts of
+characters rule out most pairs before they are made.
 
 Classes are the components of matching lines. The first line of each class, by document id and
 place, stays and the others go.
@@ -49,6 +51,11 @@ BROADCAST = 4_000_000
 ROUNDS = 2
 #: Characters after which the verification of a pair may be abandoned.
 PROBE = 24
+#: Characters up to which whole lines are compared before they are trimmed, and those compared of longer ones once trimmed.
+LONG = 512
+PREFIX = 128
+#: Groups of characters that are counted to rule out pairs of crowded lines; characters in none of them are not counted.
+GROUPS = ("eE", "tT", "aA", "oO", "iI", "nN", "sS", "hH", "rR", "dDlL", "uUcCmM", "bBfFgGpPwWyY", "kKvVjJxXqQzZ", " .,", "0123456789")
 #: Characters of a block of a line in which the way around crowded buckets looks for one edit.
 BLOCK = 256
 
@@ -74,33 +81,52 @@ def _line_id() -> Column:
     return F.unhex(F.md5(F.col("line").cast("binary"))).alias("lid")
 
 
-def _shapes(longer: int, t: int) -> Column:
-    """(difference of lengths, edits, number of the segment, how far it is moved) of the keys of lines that index t + 1 segments."""
+def _cut(length: Column) -> Column:
+    """The length that segments are cut for: rounded down by an eighth at most, so that few lines probe for two of them."""
+    step = F.pow(F.lit(2), F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)))) - 3, F.lit(0))).cast("int")
+    return length - length % step
+
+
+def _shapes(longer: range, t: int) -> Column:
+    """(least difference of lengths, edits, number of the segment, how far it is moved) of the keys of lines that are so much
+    longer than lines which index the same t + 1 segments."""
+    moves = sorted({(i, moved) for n in longer for i in range(t + 1) for moved in range(max(-i, n - t + i), min(i, n + t - i) + 1)})
     return F.array(*[
-        F.struct(F.lit(longer).alias("longer"), F.lit(t).alias("edits"), F.lit(i).alias("i"), F.lit(moved).alias("moved"))
-        for i in range(t + 1)
-        for moved in range(max(-i, longer - t + i), min(i, longer + t - i) + 1)
+        F.struct(F.lit(longer[0]).alias("longer"), F.lit(t).alias("edits"), F.lit(i).alias("i"), F.lit(moved).alias("moved"))
+        for i, moved in moves
     ])
 
 
 def _keys(lines: DataFrame, threshold: int) -> DataFrame:
-    """(lid, role, edits, bucket) for each index and probe key of the lines (lid, line).
+    """(lid, size, role, edits, bucket) for each index and probe key of the lines (lid, line).
 
     Role 0 indexes a line by one of its segments; role 1 probes the index of as long and shorter lines.
+    Lengths that are cut alike share their keys, with the moves of all of them.
     A row for each key comes first, so that one short expression makes them all: written out for each
     key, it is too long to be compiled. Segments of ASCII lines are cut as bytes, which needs no walk to their place.
     """
     size, line, shape = F.col("size"), F.col("line"), F.col("shape")
-    own = [F.when(edits(size - longer, threshold) == t, _shapes(longer, t)) for longer in range(threshold + 1) for t in range(max(1, longer), threshold + 1)]
+    cuts = F.col("cuts")
+    own = []
+    for t in range(1, threshold + 1):
+        has = [edits(size - n, threshold) == t for n in range(t + 1)]
+        alike = [F.lit(False), *[has[n - 1] & has[n] & (cuts[n - 1] == cuts[n]) for n in range(1, t + 1)], F.lit(False)]
+        for first in range(t + 1):
+            for last in range(first, t + 1):
+                run = has[first] & ~alike[first] & ~alike[last + 1]
+                for n in range(first + 1, last + 1):
+                    run &= alike[n]
+                own.append(F.when(run, _shapes(range(first, last + 1), t)))
     sized = lines.withColumns({"size": F.char_length("line"), "ascii": F.char_length("line") == F.octet_length("line")})
-    rows = sized.select("lid", "line", "size", "ascii", F.explode(F.flatten(F.array_compact(F.array(*own)))).alias("shape"))
-    rows = rows.withColumn("length", size - shape["longer"])
+    sized = sized.withColumn("cuts", F.array(*[_cut(size - n) for n in range(threshold + 1)]))
+    rows = sized.select("lid", "line", "size", "ascii", "cuts", F.explode(F.flatten(F.array_compact(F.array(*own)))).alias("shape"))
+    rows = rows.withColumn("length", F.get(cuts, shape["longer"]))
     start, end = (F.floor((shape["i"] + k) * F.col("length") / (shape["edits"] + 1)).cast("int") + shape["moved"] for k in (0, 1))
     rows = rows.withColumns({"start": start, "end": end}).where("start >= 0 and end <= size")
     place, width = F.col("start") + 1, F.col("end") - F.col("start")
     segment = F.when(F.col("ascii"), F.substring(line.cast("binary"), place, width)).otherwise(F.substring(line, place, width).cast("binary"))
     role = ((shape["longer"] > 0) | (shape["moved"] != 0)).cast("int")
-    return rows.select("lid", role.alias("role"), shape["edits"].alias("edits"), F.xxhash64("length", shape["i"], segment).alias("bucket"))
+    return rows.select("lid", "size", role.alias("role"), shape["edits"].alias("edits"), F.xxhash64("length", shape["edits"], shape["i"], segment).alias("bucket"))
 
 
 def _profiles(segments: int, threshold: int) -> list[tuple[int, int, list[int], list[int]]]:
@@ -123,7 +149,10 @@ def _profiles(segments: int, threshold: int) -> list[tuple[int, int, list[int],
 
 
 def _finer_keys(lines: DataFrame, most: int, threshold: int) -> DataFrame:
-    """As `_keys`, for lines with `threshold` edits, with all segments of a finer cut but that many in each key."""
+    """As `_keys`, for lines with `threshold` edits, with all segments of a finer cut but that many in each key.
+
+    Lengths are not cut alike here, and moves are told by each difference of lengths.
+    """
     segments = FINER.get(threshold, 2 * threshold)
     profiles = _profiles(segments, threshold)
     numbers = {tuple(free): i for i, free in enumerate(combinations(range(segments), threshold))}
@@ -146,8 +175,8 @@ def _finer_keys(lines: DataFrame, most: int, threshold: int) -> DataFrame:
                  F.array(*map(F.lit, free)).alias("free"), F.array(*map(F.lit, moved)).alias("moved"))
         for role, longer, free, moved in profiles
     ])
-    keyed = lines.withColumn("size", F.char_length("line")).select("lid", F.explode(F.transform(literal, key)).alias("k"))
-    return keyed.select("lid", "k.role", "k.edits", "k.bucket").where("bucket is not null")
+    keyed = lines.withColumn("size", F.char_length("line")).select("lid", "size", F.explode(F.transform(literal, key)).alias("k"))
+    return keyed.select("lid", "size", "k.role", "k.edits", "k.bucket").where("bucket is not null")
 
 
 def _members(keys: DataFrame) -> DataFrame:
@@ -158,15 +187,44 @@ def _members(keys: DataFrame) -> DataFrame:
     live = stored(spark, sums.where((F.col("n") >= _INDEX) & (F.col("n") % _INDEX > 1)).select(F.col("bucket").alias("_b")), "live")
     # The keys are many more than those that meet, so they are not shuffled again while that can be had.
     few = F.broadcast(live) if live.count() <= BROADCAST else live
-    met = keys.join(few, F.col("bucket") == F.col("_b")).select("bucket", "lid", "role", "edits")
+    met = keys.join(few, F.col("bucket") == F.col("_b")).select("bucket", "lid", "size", "role", "edits")
     return stored(spark, met.distinct(), "members")
 
 
 def _pairs(named: DataFrame) -> DataFrame:
     """Pairs (a, b) of different labels in one bucket, one of them by an index key."""
+    return _met(named).distinct()
+
+
+def _met(named: DataFrame, *more: Column) -> DataFrame:
     a, b = named.where("role = 0").alias("a"), named.alias("b")
     met = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.label") != F.col("b.label")) & ((F.col("b.role") == 1) | (F.col("a.lid") < F.col("b.lid")))
-    return a.join(b, met).select(F.least("a.lid", "b.lid").alias("a"), F.greatest("a.lid", "b.lid").alias("b")).distinct()
+    met &= F.abs(F.col("a.size") - F.col("b.size")) <= F.col("a.edits")
+    for condition in more:
+        met &= condition
+    return a.join(b, met).select(F.least("a.lid", "b.lid").alias("a"), F.greatest("a.lid", "b.lid").alias("b"))
+
+
+def _counts(line: Column) -> Column:
+    """How many characters of each group a line has, one column a group."""
+    return F.struct(*[(F.char_length(line) - F.char_length(F.translate(line, g, ""))).alias(f"n{i}") for i, g in enumerate(GROUPS)])
+
+
+def _apart() -> Column:
+    """Differences of the counts of lines a and b; one edit takes a character from one group and gives one to another at most."""
+    return sum((F.abs(F.col(f"a.counts.n{i}") - F.col(f"b.counts.n{i}")) for i in range(len(GROUPS))), F.lit(0))
+
+
+def _crowded_pairs(named: DataFrame, texts: DataFrame) -> DataFrame:
+    """As `_pairs`, for lines that share most of their text: the counts of their characters rule out most pairs as they meet."""
+    counts = texts.select(F.col("lid").alias("_l"), _counts(F.col("line")).alias("counts"))
+    whole = named.join(counts, F.col("lid") == F.col("_l")).drop("_l")
+    return _met(stored(named.sparkSession, whole, "counted"), _apart() <= 2 * F.col("a.edits")).distinct()
+
+
+def _bounded(x: Column, y: Column, most: Column, threshold: int) -> Column:
+    """Whether so many edits are enough, `threshold` at most; the compiled function gives -1 above that."""
+    return F.pmod(F.levenshtein(x, y, threshold), F.lit(threshold + 2)) <= most
 
 
 def _split(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -191,7 +249,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     two = one.join(texts.select(F.col("lid").alias("b"), F.col("line").alias("y")), "b")
     m, n = F.char_length("x"), F.char_length("y")
     near = two.withColumn("edits", edits(F.least(m, n), threshold)).where(F.abs(m - n) <= F.col("edits"))
-    rest = _rest(near)
+    # Most pairs do not match: they go by a compiled function, and the steps below see few. It takes the square of a line's
+    # length, so of longer lines only the first characters that differ are looked at: prefixes differ by twice the edits at most.
+    x, y = F.col("x"), F.col("y")
+    near = stored(spark, near.where((F.greatest(m, n) > LONG) | _bounded(x, y, F.col("edits"), threshold)), "near")
+    rest = stored(spark, _rest(near), "trimmed")  # written out, or the condition would repeat all its steps
+    rest = rest.where(_bounded(F.substring(x, 1, PREFIX), F.substring(y, 1, PREFIX), 2 * F.col("edits"), 2 * threshold))
     longer = F.char_length("x") >= F.char_length("y")
     long, short = F.when(longer, F.col("x")).otherwise(F.col("y")), F.when(longer, F.col("y")).otherwise(F.col("x"))
     # Written out, so that each step of the verification finds the characters ready.
@@ -372,7 +435,7 @@ def _by_finer_keys(members: DataFrame, links: DataFrame, texts: DataFrame, thres
         own = _finer_keys(finer.where(F.col("edits") == t).drop("edits"), threshold, t)
         keys = own if keys is None else keys.unionAll(own)
     small, large = _split(stored(spark, _labelled(_members(keys), links), "named"))
-    pairs = stored(spark, _pairs(small), "pairs")
+    pairs = stored(spark, _crowded_pairs(small, texts), "pairs")
     links = stored(spark, links.unionAll(_verified(pairs, texts, threshold)), "links")
     large = stored(spark, large.drop("label"), "large")
     one = texts.join(large.where("edits = 1").select("lid").distinct(), "lid")
@@ -381,7 +444,7 @@ def _by_finer_keys(members: DataFrame, links: DataFrame, texts: DataFrame, thres
     large = large.where("edits > 1")
     if not large.isEmpty():
         links, large = _by_centres(large, links, texts, threshold)
-        links = links.unionAll(_verified(stored(spark, _pairs(large), "pairs"), texts, threshold))
+        links = links.unionAll(_verified(stored(spark, _crowded_pairs(large, texts), "pairs"), texts, threshold))
     return links
 
 

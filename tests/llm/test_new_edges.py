@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bidmill.llm import repair, simhash, spelling
+from bidmill.llm import line_dedup, repair, simhash, spelling
 
 
 def frame(spark, tmp_path, rows, schema, name="t"):
@@ -266,3 +266,20 @@ def test_reports_of_hard_conversations(spark, tmp_path):
     rows = [(r.conv_id, r.place, r.edit, r.role) for r in found.where("conv_id = 3 and place is not null").collect()]
     assert rows == [(3, 0, "R", "user"), (3, 1, "R", "assistant")]
     assert repair.digest(repair.repair(repair.damaged(table.where("false")))).isEmpty()
+
+
+def test_lines_cut_alike_share_their_keys(spark, tmp_path):
+    """A line of 330 characters had 26 keys, one for each difference of lengths; lengths that are cut alike share theirs."""
+    rows = frame(spark, tmp_path, [(b"a", "".join(chr(97 + i * i % 23) for i in range(330)))], "lid binary, line string", "k")
+    keys = line_dedup._keys(rows, line_dedup.THRESHOLD).collect()
+    assert len(keys) == 12 and sum(k.role == 0 for k in keys) == 4
+
+
+def test_counts_rule_out_pairs_of_crowded_lines(spark, tmp_path):
+    """Lines of one bucket that differ by a word are not paired up, those within the edits are."""
+    base = "the quick brown fox jumps over the lazy dog and runs into the forest again and again"
+    lines = [base, base.replace("forest", "qqqqqqq"), base.replace("forest", "zzzzzz"), base.replace("forest", "foresty")]
+    texts = frame(spark, tmp_path, [(bytes([i]), x) for i, x in enumerate(lines)], "lid binary, line string", "t")
+    named = texts.selectExpr("1L AS bucket", "lid", "char_length(line) AS size", "0 AS role", "3 AS edits", "lid AS label")
+    assert line_dedup._pairs(named).count() == 6
+    assert {(bytes(x.a)[0], bytes(x.b)[0]) for x in line_dedup._crowded_pairs(named, texts).collect()} == {(0, 3), (1, 2)}
