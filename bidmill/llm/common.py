@@ -21,10 +21,25 @@ _BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]")
 _PIECE = 1 << 20
 
 
-def stored(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: later steps start from the files."""
+#: Whether a query's shuffled files go when it ends, not when the driver collects its garbage.
+_LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(spark: SparkSession, df: DataFrame, what: str, release: bool = False) -> DataFrame:
+    """Write a frame to the shared folder and read it back: later steps start from the files.
+
+    With release, what was shuffled for it goes as soon as it is written.
+    """
     path = new_folder(spark, what)
-    df.write.parquet(path)
+    if release:
+        before = spark.conf.get(_LET_GO, None)
+        spark.conf.set(_LET_GO, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            spark.conf.unset(_LET_GO) if before is None else spark.conf.set(_LET_GO, before)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,7 +71,7 @@ def word_lists(data: bytes):
 
 
 @lru_cache(1)
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def byte_powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Random values of bytes, powers of the base, and powers of its inverse modulo 2**64."""
     values = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
     up = np.full(_POWERS, _BASE, np.uint64)
@@ -80,7 +95,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     The bytes are taken in pieces, so that tables of powers stay small; spans are sorted by
     start. Spans longer than a piece are summed over several.
     """
-    values, up, down = _tables()
+    values, up, down = byte_powers()
     out = np.empty(len(starts), np.uint64)
     done = 0
     while done < len(starts):
@@ -106,7 +121,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def _long_hash(data: np.ndarray) -> np.ndarray:
     """The hash of all bytes as one span, from the sums of its pieces."""
-    values, _, down = _tables()
+    values, _, down = byte_powers()
     total = 0
     for at in range(0, len(data), _POWERS):
         part = data[at : at + _POWERS]
