@@ -13,7 +13,8 @@ last of them; only these two need be put into suffix order. Which they may be is
 some windows in a row have in common (their core), then of the windows of cores that are seen again.
 
 An anchor with more than MOST different surroundings, such as a line that many documents share, is
-not gathered in one task: the same cores, and then windows, are counted by their digest over all tasks.
+not gathered in one task: its surroundings are settled in the same way with longer pieces, which fewer of them
+share, and at last with pieces of LENGTH bytes, whose surroundings are all alike.
 
 Each step is written out before the next and lets go of its shuffled files, so the disk holds those of one step.
 
@@ -27,7 +28,8 @@ Texts of any length are taken whole, in overlapping pieces.
 
 from __future__ import annotations
 
-from hashlib import blake2b, sha256
+from functools import reduce
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +65,8 @@ def anchors(hashes: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(_sliding(padded, width, np.maximum) == hashes)
 
 
-def _anchored(data: np.ndarray, ends: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, anchor hash, hash of its surroundings) as arrays, for texts that end at `ends` of the data."""
+def _anchored(data: np.ndarray, ends: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
+    """(place, anchor hash, hash of its surroundings, begin and end of these) as arrays, for texts that end at `ends` of the data."""
     values, up, down = byte_powers()
     width = length - piece + 1
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
@@ -89,13 +91,13 @@ def _anchored(data: np.ndarray, ends: np.ndarray, length: int, piece: int) -> tu
         low = np.maximum(place - (width - 1), begins[text])
         high = np.minimum(place + length, ends[text])
         around = mixed((sums[high - base] - sums[low - base]) * up[low - base] + (high - low).astype(np.uint64))
-        found.append((place, hashes[where], mixed(around ^ (place - low).astype(np.uint64))))
+        found.append((place, hashes[where], mixed(around ^ (place - low).astype(np.uint64)), low, high))
     if not found:
         nothing = np.zeros(0, np.int64)
-        return nothing, nothing.astype(np.uint64), nothing.astype(np.uint64)
-    place, hashes, around = (np.concatenate(x) for x in zip(*found, strict=True))
-    place, once = np.unique(place, return_index=True)  # chunks overlap
-    return place, hashes[once], around[once]
+        return nothing, nothing.astype(np.uint64), nothing.astype(np.uint64), nothing, nothing
+    found = [np.concatenate(x) for x in zip(*found, strict=True)]
+    once = np.unique(found[0], return_index=True)[1]  # chunks overlap
+    return tuple(x[once] for x in found)
 
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -118,65 +120,97 @@ def _slices(batch: pa.RecordBatch, text: int):
         at = upto
 
 
-def _anchor_hashes(docs: DataFrame, length: int, piece: int) -> DataFrame:
-    """(anchor) of each place of docs (text)."""
+def _anchor_hashes(parts: DataFrame, length: int, piece: int) -> DataFrame:
+    """(anchor) of each place of parts (text)."""
 
     def run(batches):
         for whole in batches:
             for batch in _slices(whole, 0):
                 yield pa.RecordBatch.from_arrays([pa.array(_anchored(*_bytes_of(batch.column(0)), length, piece)[1].view(np.int64))], ["anchor"])
 
-    return docs.mapInArrow(run, "anchor long")
+    return parts.mapInArrow(run, "anchor long")
 
 
-def _places(docs: DataFrame, length: int, piece: int) -> DataFrame:
-    """(key, mark, p, anchor, around) of docs (key, mark, text)."""
+def _places(parts: DataFrame, length: int, piece: int) -> DataFrame:
+    """(key, mark, p, fit, anchor, around) of parts (key, mark, at, text); fit: bytes of the surroundings before p and behind."""
 
     def run(batches):
         for whole in batches:
-            for batch in _slices(whole, 2):
-                data, ends = _bytes_of(batch.column(2))
-                place, hashes, around = _anchored(data, ends, length, piece)
+            for batch in _slices(whole, 3):
+                data, ends = _bytes_of(batch.column(3))
+                place, hashes, around, low, high = _anchored(data, ends, length, piece)
                 owner = np.searchsorted(ends, place, "right")
                 taken = pa.array(owner)
-                arrays = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array((place - np.concatenate([[0], ends])[owner]).astype(np.int32))]
+                p = place - np.concatenate([[0], ends])[owner] + batch.column(2).to_numpy()[owner]
+                arrays = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(p.astype(np.int32)), pa.array((place - low << 32) + high - place)]
                 arrays += [pa.array(hashes.view(np.int64)), pa.array(around.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(arrays, ["key", "mark", "p", "anchor", "around"])
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "mark", "p", "fit", "anchor", "around"])
 
-    return docs.mapInArrow(run, "key long, mark long, p int, anchor long, around long")
+    return parts.mapInArrow(run, "key long, mark long, p int, fit long, anchor long, around long")
 
 
-_ASKED = "anchor long, around long, key long, mark long, p int, open boolean, bytes binary"
+def _asked(parts: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """Parts (key, mark, at, text) with what is asked of their documents: lists of (low, high) and the columns."""
+    before, behind = F.shiftright("fit", 32).cast("int"), F.col("fit").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    each = F.struct((F.col("first.p") - before).alias("low"), (F.col("first.p") + behind).alias("high"), *columns)
+    lists = wanted.groupBy(F.col("first.key").alias("_k"), F.col("first.mark").alias("_m")).agg(F.collect_list(each).alias("asked"))
+    met = parts.join(lists, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m")))
+    return met.select("key", "mark", "at", "text", "asked")
 
 
-def _surroundings(docs: DataFrame, wanted: DataFrame, length: int, piece: int) -> DataFrame:
-    """(anchor, around, key, mark, p, open, bytes) for the first place of each different surroundings.
+def _in_parts(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """(data, owner, begin and end in the data, which of the asked) of what is asked and lies in the part, for a batch of _asked."""
+    data, ends = _bytes_of(batch.column(3))
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    owner = np.repeat(np.arange(batch.num_rows), batch.column(4).value_lengths().to_numpy())
+    offset = (begins - batch.column(2).to_numpy())[owner]
+    low, high = (c.to_numpy() + offset for c in batch.column(4).flatten().flatten()[:2])
+    which = np.flatnonzero((low >= begins[owner]) & (high <= ends[owner]))
+    return data, owner[which], low[which], high[which], which
+
+
+def _cut(data: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
+    """data[low:high] for each pair."""
+    cuts = np.concatenate([[0], np.cumsum(high - low)]).astype(np.int64)
+    taken = data[np.repeat(low - cuts[:-1], high - low) + np.arange(cuts[-1])]
+    return pa.Array.from_buffers(pa.large_binary(), len(low), [None, pa.py_buffer(cuts), pa.py_buffer(taken)]).cast(pa.binary())
+
+
+def _surroundings(parts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(anchor, around, key, mark, low, inside, open, bytes) for the first place of each different surroundings.
 
     Documents that repeat id and text give their rows more than once.
     """
-    lists = wanted.groupBy(F.col("first.key").alias("_k"), F.col("first.mark").alias("_m")).agg(
-        F.collect_list(F.struct("anchor", "around", F.col("first.p").alias("p"), "open")).alias("asked")
-    )
-    met = docs.join(lists, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m"))).select("key", "mark", "text", "asked")
 
     def run(batches):
         for whole in batches:
-            for batch in _slices(whole, 2):
-                data, ends = _bytes_of(batch.column(2))
-                begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                asked = batch.column(3)
-                owner = np.repeat(np.arange(batch.num_rows), asked.value_lengths().to_numpy())
-                anchor, around, p, open_ = asked.flatten().flatten()
-                place = begins[owner] + p.to_numpy()
-                low = np.maximum(place - (length - piece), begins[owner])
-                sizes = np.minimum(place + length, ends[owner]) - low
-                cuts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                taken = data[np.repeat(low - cuts[:-1], sizes) + np.arange(cuts[-1])]
-                pieces = pa.Array.from_buffers(pa.binary(), len(owner), [None, pa.py_buffer(cuts), pa.py_buffer(taken)])
+            for batch in _slices(whole, 3):
+                data, owner, low, high, which = _in_parts(batch)
+                lists = batch.column(4).flatten().flatten()
+                for at in range(0, len(which), 8 * _ROWS):  # a long text may have very many
+                    some = slice(at, at + 8 * _ROWS)
+                    rows, asked = pa.array(owner[some]), [c.take(pa.array(which[some])) for c in lists]
+                    arrays = [asked[2], asked[3], batch.column(0).take(rows), batch.column(1).take(rows), asked[0], asked[4], asked[5], _cut(data, low[some], high[some])]
+                    yield pa.RecordBatch.from_arrays(arrays, ["anchor", "around", "key", "mark", "low", "inside", "open", "bytes"])
+
+    met = _asked(parts, wanted.withColumn("inside", F.shiftright("fit", 32).cast("int")), "anchor", "around", "inside", "open")
+    return met.mapInArrow(run, "anchor long, around long, key long, mark long, low int, inside int, open boolean, bytes binary")
+
+
+def _regions(parts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Parts (key, mark, at, text) of all that surrounds the first places, each byte of a document once."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in _slices(whole, 3):
+                data, owner, low, high, _ = _in_parts(batch)
+                owner, low, high = _merged(owner, low, high)
+                begins = np.concatenate([[0], _bytes_of(batch.column(3))[1]])
                 rows = pa.array(owner)
-                yield pa.RecordBatch.from_arrays([anchor, around, batch.column(0).take(rows), batch.column(1).take(rows), p, open_, pieces], ["anchor", "around", "key", "mark", "p", "open", "bytes"])
+                at = pa.array((low - begins[owner] + batch.column(2).to_numpy()[owner]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), at, _cut(data, low, high)], ["key", "mark", "at", "text"])
 
-    return met.mapInArrow(run, _ASKED)
+    return _asked(parts, wanted).mapInArrow(run, "key long, mark long, at int, text binary")
 
 
 def _cores(places: np.ndarray, sizes: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
@@ -223,15 +257,16 @@ def _groups(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
 
 
-def matched(data: np.ndarray, ends: np.ndarray, anchor: np.ndarray, docs: np.ndarray, places: np.ndarray, open_: np.ndarray, length: int, piece: int, earlier: bool) -> tuple[np.ndarray, np.ndarray]:
+def matched(
+    data: np.ndarray, ends: np.ndarray, anchor: np.ndarray, docs: np.ndarray, starts: np.ndarray, inside: np.ndarray, open_: np.ndarray, length: int, piece: int, earlier: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """For each of different surroundings of anchors: its first and last window that occurs at another place, or at an earlier one.
 
-    ends: of each in the data; docs and places: where its anchor stands. A window's place is only compared with others.
-    The first is -1 where no window does, and where the surroundings are not open.
+    ends: of each in the data; docs and starts: where each stands; inside: where its anchor is in it. A window's place is
+    only compared with others. The first is -1 where no window does, and where the surroundings are not open.
     """
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     sizes = ends - begins
-    inside = np.minimum(places, length - piece)
     seed = mixed(anchor.view(np.uint64))
     # Groups of windows whose core is seen at two places of their anchor, one of them in open surroundings.
     row, number, first, last = _cores(inside, sizes, length, piece)
@@ -252,7 +287,7 @@ def matched(data: np.ndarray, ends: np.ndarray, anchor: np.ndarray, docs: np.nda
     if not len(row):
         return low, high
     ranks = np.empty(len(ends), np.int64)
-    ranks[np.lexsort((places, docs))] = np.arange(len(ends))
+    ranks[np.lexsort((starts + inside, docs))] = np.arange(len(ends))
     order = np.lexsort((ranks[row], hashes))
     at = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
     # Within a group of equal hashes: the least two places, and all others.
@@ -264,7 +299,7 @@ def matched(data: np.ndarray, ends: np.ndarray, anchor: np.ndarray, docs: np.nda
     asking = np.concatenate(edges)
     asking = asking[asking >= 0]
     chosen = np.unique(np.concatenate([asking, least[group[asking]], second[group[asking]]]))
-    position = (docs[row] << 32) + places[row] - inside[row] + window
+    position = (docs[row] << 32) + starts[row] + window
     good = np.zeros(len(row), bool)
     good[chosen] = _in_order(data, begins[row[chosen]] + window[chosen], position[chosen], length, earlier)
     if not good[asking].all():  # equal hashes of different windows: all of them decide
@@ -350,141 +385,71 @@ def _in_suffix_order(rows: DataFrame, length: int, piece: int, earlier: bool) ->
         once = np.ones(len(anchor), bool)  # documents that repeat id and text give rows again
         once[1:] = (anchor[1:] != anchor[:-1]) | (around[1:] != around[:-1])
         table = table.filter(pa.array(once)).combine_chunks()
-        key, mark, p = (table[n].to_numpy() for n in ("key", "mark", "p"))
+        key, mark, starts, inside = (table[n].to_numpy() for n in ("key", "mark", "low", "inside"))
         order = np.lexsort((mark, key))
         new = np.zeros(len(order), np.int64)
         new[1:] = (key[order][1:] != key[order][:-1]) | (mark[order][1:] != mark[order][:-1])
         docs = np.empty(len(order), np.int64)
         docs[order] = np.cumsum(new)
         data, ends = _bytes_of(table["bytes"].chunk(0))
-        open_ = table["open"].to_numpy()
-        low, high = matched(data, ends, table["anchor"].to_numpy(), docs, p.astype(np.int64), open_, length, piece, earlier)
+        low, high = matched(data, ends, table["anchor"].to_numpy(), docs, starts.astype(np.int64), inside.astype(np.int64), table["open"].to_numpy(), length, piece, earlier)
         hit = np.flatnonzero(low >= 0)
-        begin = np.maximum(p[hit].astype(np.int64) - (length - piece), 0)
-        arrays = [pa.array(key[hit]), pa.array(mark[hit]), pa.array((begin + low[hit]).astype(np.int32)), pa.array((begin + high[hit] + length).astype(np.int32))]
+        arrays = [pa.array(key[hit]), pa.array(mark[hit]), pa.array((starts[hit] + low[hit]).astype(np.int32)), pa.array((starts[hit] + high[hit] + length).astype(np.int32))]
         return pa.RecordBatch.from_arrays(arrays, ["key", "mark", "low", "high"])
 
     grouped = rows.repartition(F.col("anchor")).sortWithinPartitions("anchor", "around")
     return grouped.mapInArrow(run, _SPANS)
 
 
-def _core_rows(rows: DataFrame, length: int, piece: int) -> DataFrame:
-    """(core, whole, key, mark, p, number, low, high, open): groups of windows, by hash of their core and digest of all their bytes."""
-
-    def run(batches):
-        for batch in batches:
-            anchor, _, key, mark, p, open_, text = batch.columns
-            data, ends = _bytes_of(text)
-            begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-            places = p.to_numpy().astype(np.int64)
-            inside = np.minimum(places, length - piece)
-            row, number, first, last = _cores(inside, ends - begins, length, piece)
-            begin, end = _core_spans(inside[row], number, length, piece)
-            seed = mixed(anchor.to_numpy().view(np.uint64))
-            cores = mixed(_hashes_at(data, begins[row] + begin, begins[row] + end) ^ (seed[row] + number.astype(np.uint64)))
-            raw, names = data.tobytes(), [f"{a} ".encode() for a in anchor.to_pylist()]
-            spans = zip(row.tolist(), (begins[row] + first).tolist(), (begins[row] + last + length).tolist(), (inside[row] - first).tolist(), number.tolist(), strict=True)
-            whole = [blake2b(names[r] + b"%d %d " % (n, o) + raw[a:b], digest_size=16).digest() for r, a, b, o, n in spans]
-            low = places[row] - inside[row]
-            taken = pa.array(row)
-            arrays = [pa.array(cores.view(np.int64)), pa.array(whole, pa.binary()), *(c.take(taken) for c in (key, mark, p)), pa.array(number.astype(np.int32))]
-            arrays += [pa.array((low + first).astype(np.int32)), pa.array((low + last + length).astype(np.int32)), open_.take(taken)]
-            yield pa.RecordBatch.from_arrays(arrays, ["core", "whole", "key", "mark", "p", "number", "low", "high", "open"])
-
-    return rows.mapInArrow(run, "core long, whole binary, key long, mark long, p int, number int, low int, high int, open boolean")
-
-
-def _window_rows(rows: DataFrame, length: int, piece: int) -> DataFrame:
-    """(window, key, mark, p, low, high, open): digests of the windows of the listed groups, of rows that end in `numbers`."""
-
-    def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, _ROWS):
-                batch = whole.slice(at, _ROWS)
-                out = []
-                for anchor, key, mark, p, open_, data, numbers in zip(*(batch.column(n).to_pylist() for n in ("anchor", "key", "mark", "p", "open", "bytes", "numbers")), strict=True):
-                    inside = min(p, length - piece)
-                    _, number, first, last = _cores(np.array([inside]), np.array([len(data)]), length, piece)
-                    for n, a, b in zip(number.tolist(), first.tolist(), last.tolist(), strict=True):
-                        for i in range(a, b + 1) if n in numbers else ():
-                            name = blake2b(b"%d %d " % (anchor, inside - i) + data[i : i + length], digest_size=16).digest()
-                            out.append((name, key, mark, p, p - inside + i, p - inside + i + length, open_))
-                kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_())
-                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True) if out else [[]] * 7, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["window", "key", "mark", "p", "low", "high", "open"])
+def _longer(length: int, piece: int) -> int:
+    """The piece to settle crowded anchors with: it halves the windows around it, then quarters them, and takes few of them one by one."""
+    rest = length - piece
+    return length - (rest // 2 if 2 * rest > length else rest // 4 if rest > 32 else 0)
 
-    return rows.mapInArrow(run, "window binary, key long, mark long, p int, low int, high int, open boolean")
 
-
-def _by_digest(rows: DataFrame, length: int, piece: int, earlier: bool) -> DataFrame:
-    """As _in_suffix_order, for anchors with very many surroundings: groups of windows, and then windows, are counted by digest.
-
-    Only equal windows of one anchor are compared, as in suffix order; a window has other anchors' rows too.
-    """
-    spark = rows.sparkSession
-    rows = stored(spark, rows.dropDuplicates(["key", "mark", "p"]), "crowded", release=True)
-    place = F.struct("key", "mark", "p")
-    cores = _core_rows(rows, length, piece)
-    wholes = cores.groupBy("whole").agg(
-        F.min("core").alias("core"), F.min(F.struct("key", "mark", "p", "number", "open")).alias("least"), F.max(place).alias("most"), F.max("open").alias("open")
-    )
-    wholes = stored(spark, wholes, "wholes", release=True)
-    once = F.struct("least.key", "least.mark", "least.p") == F.col("most")
-    # Groups that occur again as a whole.
-    again = wholes.where(~once).select("whole", F.struct("least.key", "least.mark", "least.p").alias("least"))
-    repeats = cores.where("open").join(again, "whole")
-    repeats = repeats.where(place != F.col("least")) if earlier else repeats
-    repeats = stored(spark, repeats.select("key", "mark", "p", "low", "high"), "repeats", release=True)
-    # Groups whose core is also that of a different one, of which one is not yet judged: with `earlier`, its first.
-    unsure = F.col("least.open") if earlier else F.col("open") & once
-    shared = wholes.groupBy("core").agg(F.count("*").alias("kinds"), F.max(unsure).alias("open")).where("kinds > 1 and open").select("core")
-    numbers = wholes.join(shared, "core").groupBy("least.key", "least.mark", "least.p").agg(F.collect_set("least.number").alias("numbers"))
-    windows = stored(spark, _window_rows(rows.join(numbers, ["key", "mark", "p"]), length, piece), "windows", release=True)
-    seen = windows.groupBy("window").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").drop("most")
-    met = windows.where("open").join(seen, "window")
-    met = met.where(place != F.col("least")) if earlier else met
-    spans = repeats.unionByName(met.select("key", "mark", "p", "low", "high"))
-    return spans.groupBy("key", "mark", "p").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("p")
-
-
-def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, text, runs): each document with the runs of bytes to remove, as pairs that may overlap or pass its end."""
-    spark = docs.sparkSession
-    late = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62)  # behind all usual ids
-    key = F.coalesce(F.col(doc_id).cast("long"), late)
-    named = docs.select(F.col(doc_id).cast("long").alias("id"), key.alias("key"), F.xxhash64(F.lit(1), F.col(text)).alias("mark"), F.col(text).alias("text"))
-    rows = named.select("key", "mark", "text")
-    shared = _anchor_hashes(named.select("text"), length, piece).groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1")
+def _repeats(parts: DataFrame, length: int, piece: int, keep_first: bool) -> list[DataFrame]:
+    """Frames of (key, mark, low, high): bytes to remove of documents of which parts (key, mark, at, text) are looked at."""
+    spark = parts.sparkSession
+    shared = _anchor_hashes(parts.select("text"), length, piece).groupBy("anchor").agg(F.count("*").alias("total")).where("total > 1")
     shared = stored(spark, shared, "anchors", release=True)
-    found = stored(spark, _places(rows, length, piece).join(shared, "anchor"), "places", release=True)
+    found = stored(spark, _places(parts, length, piece).join(shared, "anchor"), "places", release=True)
     place = F.struct("key", "mark", "p")
     # Different surroundings of an anchor, each with its first place.
-    kinds = found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max("total").alias("total"))
+    kinds = found.groupBy("anchor", "around").agg(F.count("*").alias("n"), F.min(place).alias("first"), F.max("total").alias("total"), F.max("fit").alias("fit"))
     kinds = stored(spark, kinds, "kinds", release=True)
     # Surroundings that occur more than once repeat as a whole; with keep_first all but the first of them.
-    several = kinds.where("n > 1").select("anchor", "around", "first")
-    spans = found.join(several, ["anchor", "around"])
-    spans = spans.where(place != F.col("first")) if keep_first else spans
-    spans = [spans.select("key", "mark", F.greatest(F.lit(0), F.col("p") - (length - piece)).alias("low"), (F.col("p") + length).alias("high"))]
+    alike = found.select("key", "mark", "p", "anchor", "around").join(kinds.where("n > 1").select("anchor", "around", "first", "fit"), ["anchor", "around"])
+    alike = alike.where(place != F.col("first")) if keep_first else alike
+    behind = F.col("fit").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    spans = [alike.select("key", "mark", (F.col("p") - F.shiftright("fit", 32).cast("int")).alias("low"), (F.col("p") + behind).alias("high"))]
+    if piece == length:
+        return spans  # each window is all that surrounds it
     # Others, and with keep_first those that come first, may repeat in part.
     differing = kinds.where("n < total").withColumn("open", F.lit(True) if keep_first else F.col("n") == 1)
     crowded = differing.where(F.col("total") > MOST).groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > MOST).select("anchor")
-    crowded = stored(spark, crowded, "crowded-anchors", release=True)
+    crowded = stored(spark, crowded, "crowded", release=True)
     apart = not crowded.isEmpty()
     few = differing.join(crowded, "anchor", "left_anti") if apart else differing
-    spans.append(stored(spark, _in_suffix_order(_surroundings(rows, few, length, piece), length, piece, keep_first), "spans", release=True))
+    spans.append(stored(spark, _in_suffix_order(_surroundings(parts, few), length, piece, keep_first), "spans", release=True))
     if apart:
-        many = _surroundings(rows, differing.join(crowded, "anchor", "left_semi"), length, piece)
-        spans.append(stored(spark, _by_digest(many, length, piece, keep_first), "spans", release=True))
-    whole = spans[0]
-    for part in spans[1:]:
-        whole = whole.unionByName(part)
+        regions = stored(spark, _regions(parts, differing.join(crowded, "anchor", "left_semi")), "regions", release=True)
+        spans += _repeats(regions, length, _longer(length, piece), keep_first)
+    return spans
+
+
+def repeated(docs: DataFrame, length: int = LENGTH, piece: int = PIECE, keep_first: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, text, runs): each document with the runs of bytes to remove, as pairs that may overlap."""
+    spark = docs.sparkSession
+    late = F.shiftrightunsigned(F.xxhash64(text), 2) + F.lit(1 << 62)  # behind all usual ids
+    key = F.coalesce(F.col(doc_id).cast("long"), late)
+    named = docs.select(F.col(doc_id).cast("long").alias("id"), key.alias("key"), F.xxhash64(F.lit(1), F.col(text)).alias("mark"), F.col(text).alias("text"))
+    spans = reduce(DataFrame.unionByName, _repeats(named.select("key", "mark", F.lit(0).alias("at"), "text"), length, piece, keep_first))
     packed = F.shiftleft(F.col("low").cast("long"), 32) + F.col("high")
-    runs = whole.groupBy(F.col("key").alias("_k"), F.col("mark").alias("_m")).agg(F.collect_set(packed).alias("packed"))
+    runs = spans.groupBy(F.col("key").alias("_k"), F.col("mark").alias("_m")).agg(F.collect_set(packed).alias("packed"))
     runs = stored(spark, runs, "runs", release=True)
     joined = named.join(runs, (F.col("key") == F.col("_k")) & (F.col("mark") == F.col("_m")), "left")
-    pair = lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("low"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("high"))
-    return joined.select("id", "text", F.transform("packed", pair).alias("runs"))
+    low, high = (lambda x: F.shiftright(x, 32).cast("int")), (lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+    return joined.select("id", "text", F.transform("packed", lambda x: F.struct(low(x).alias("low"), high(x).alias("high"))).alias("runs"))
 
 
 def _merged(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -65,7 +65,7 @@ def test_equal_hashes_of_different_windows(monkeypatch, bits, earlier):
         data = np.frombuffer("".join(texts).encode(), np.uint8)
         ends = np.cumsum([len(t) for t in texts])
         n = len(texts)
-        low, high = substrings.matched(data, ends, np.zeros(n, np.int64), np.arange(n), np.full(n, length - piece), np.arange(n) % 3 > 0, length, piece, earlier)
+        low, high = substrings.matched(data, ends, np.zeros(n, np.int64), np.arange(n), np.zeros(n, np.int64), np.full(n, length - piece), np.arange(n) % 3 > 0, length, piece, earlier)
         for i, t in enumerate(texts):
             others = texts[:i] if earlier else texts[:i] + texts[i + 1 :]
             hits = [k for k in range(len(t) - length + 1) if any(t[k : k + length] == o[k : k + length] for o in others)]
@@ -77,22 +77,23 @@ def test_equal_hashes_of_different_windows(monkeypatch, bits, earlier):
                 assert low[i] in anywhere and high[i] in anywhere and low[i] <= hits[0] and high[i] >= hits[-1]
 
 
-def test_crowded_anchors_hash_few_windows(spark, tmp_path, monkeypatch):
-    """300 texts around one line: most windows are settled in groups, without a row for each."""
+def test_crowded_anchors_make_few_rows(spark, tmp_path, monkeypatch):
+    """300 texts around one line: most windows are settled with longer pieces, without a row for each."""
     monkeypatch.setattr(substrings, "MOST", 100)
-    counted, rows_of = [], substrings._window_rows
+    counted, places_of = [], substrings._places
 
-    def counting(*args):
-        counted.append((rows := rows_of(*args)).count())
+    def counting(parts, length, piece):
+        counted.append((piece, (rows := places_of(parts, length, piece)).count()))
         return rows
 
-    monkeypatch.setattr(substrings, "_window_rows", counting)
+    monkeypatch.setattr(substrings, "_places", counting)
     r = random.Random(9)
     line = "".join(r.choices("abcdefgh ", k=260))
     texts = ["".join(r.choices("abcdefgh ", k=300)) + line + "".join(r.choices("abcdefgh ", k=300)) for _ in range(300)]
     found = {x.doc_id: x.n_removed for x in substrings.digest(substrings.repeated(frame(spark, tmp_path, list(enumerate(texts))))).collect()}
     assert [found[i] for i in range(len(texts))] == removed(texts, substrings.LENGTH, False)
-    assert sum(counted) < len(texts) * 153 / 2
+    assert [piece for piece, _ in counted] == [48, 124, 181, 200]
+    assert sum(n for piece, n in counted if piece > substrings.PIECE) < len(texts) * 153  # as many as windows around one anchor
 
 
 def test_steps_let_go_of_their_shuffled_files(spark, tmp_path):
