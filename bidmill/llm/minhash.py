@@ -150,10 +150,10 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> int:
 
 
 class _Rule:
-    """Linked if 100 * intersection >= percent * union."""
+    """Linked if 100 * intersection >= percent * union, of shingles of so many words."""
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    def __init__(self, percent: int, words: int):
+        self.percent, self.words = percent, words
         t = percent / 100
         self.least = int(np.floor(HASHES * t - 7 * np.sqrt(HASHES * t * (1 - t))))
 
@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     key is the id, or a hash of the text for null ids; mark is another hash of the text. component_key is
     the smallest id of the component, or its smallest key if it has no ids; component_id its smallest id.
     """
-    spark, rule = docs.sparkSession, _Rule(percent)
+    spark, rule = docs.sparkSession, _Rule(percent, words)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), *_row_key(doc_id, text), F.col(text).alias("text"))
     signed = stored(spark, _signed(rows, words), "signatures")
     node_keys = signed.where("node is not null").groupBy("node").agg(F.min("key").alias("key"), F.min("id").alias("id"))
