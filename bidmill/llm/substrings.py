@@ -16,7 +16,8 @@ An anchor with more than MOST different surroundings, such as a line that many d
 not gathered in one task: its surroundings are settled in the same way with longer pieces, which fewer of them
 share, and at last with pieces of LENGTH bytes, whose surroundings are all alike.
 
-Each step is written out before the next and lets go of its shuffled files, so the disk holds those of one step.
+Each step is written out before the next and lets go of its shuffled files, so the disk holds those of one step. Where
+nearly all surroundings differ, they are several times the texts and meet in turns.
 
 Removal is judged on the input. With keep_first the earliest copy, by id and place, stays; without it
 all copies go.
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 from functools import reduce
 from hashlib import sha256
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,8 @@ MOST = 1000
 _CHUNK = 1 << 15
 _BYTES = 1 << 20
 _ROWS = 2048
+#: Bytes of surroundings that are shuffled at once, to bytes of the texts.
+_SHARE = 1.0
 
 
 def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -407,6 +411,13 @@ def _longer(length: int, piece: int) -> int:
     return length - (rest // 2 if 2 * rest > length else rest // 4 if rest > 32 else 0)
 
 
+def _in_turns(parts: DataFrame, kinds: DataFrame, each: int) -> list[DataFrame]:
+    """Kinds, of up to `each` bytes, by their anchors in turns: at once their bytes are at most _SHARE of all that is looked at."""
+    whole = parts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    turns = max(1, ceil(kinds.count() * each / max(1, whole * _SHARE)))
+    return [kinds.where(F.pmod(F.xxhash64("anchor"), F.lit(turns)) == i) for i in range(turns)] if turns > 1 else [kinds]
+
+
 def _repeats(parts: DataFrame, length: int, piece: int, keep_first: bool) -> list[DataFrame]:
     """Frames of (key, mark, low, high): bytes to remove of documents of which parts (key, mark, at, text) are looked at."""
     spark = parts.sparkSession
@@ -430,7 +441,8 @@ def _repeats(parts: DataFrame, length: int, piece: int, keep_first: bool) -> lis
     crowded = stored(spark, crowded, "crowded", release=True)
     apart = not crowded.isEmpty()
     few = differing.join(crowded, "anchor", "left_anti") if apart else differing
-    spans.append(stored(spark, _in_suffix_order(_surroundings(parts, few), length, piece, keep_first), "spans", release=True))
+    for some in _in_turns(parts, few, 2 * length - piece):
+        spans.append(stored(spark, _in_suffix_order(_surroundings(parts, some), length, piece, keep_first), "spans", release=True))
     if apart:
         regions = stored(spark, _regions(parts, differing.join(crowded, "anchor", "left_semi")), "regions", release=True)
         spans += _repeats(regions, length, _longer(length, piece), keep_first)

@@ -96,6 +96,24 @@ def test_crowded_anchors_make_few_rows(spark, tmp_path, monkeypatch):
     assert sum(n for piece, n in counted if piece > substrings.PIECE) < len(texts) * 153  # as many as windows around one anchor
 
 
+@pytest.mark.parametrize("keep_first", [False, True])
+def test_surroundings_meet_in_turns(spark, tmp_path, monkeypatch, keep_first):
+    """Few bytes of surroundings are shuffled at once, and each is judged in one of the turns."""
+    monkeypatch.setattr(substrings, "_SHARE", 0.2)
+    met, in_order = [], substrings._in_suffix_order
+
+    def counting(rows, *args):
+        met.append(sum(len(r.bytes) for r in rows.select("bytes").collect()))
+        return in_order(rows, *args)
+
+    monkeypatch.setattr(substrings, "_in_suffix_order", counting)
+    texts = odd_texts()
+    docs = frame(spark, tmp_path, list(enumerate(texts)))
+    found = {x.doc_id: x.n_removed for x in substrings.digest(substrings.repeated(docs, length=24, piece=10, keep_first=keep_first)).collect()}
+    assert [found[i] for i in range(len(texts))] == removed(texts, 24, keep_first)
+    assert len(met) > 3 and max(met) < 0.4 * sum(map(len, texts)) < sum(met)
+
+
 def test_steps_let_go_of_their_shuffled_files(spark, tmp_path):
     def shuffled():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
