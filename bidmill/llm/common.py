@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import contextmanager, nullcontext
 from functools import lru_cache
 
 import numpy as np
@@ -25,20 +26,24 @@ _PIECE = 1 << 20
 _LET_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def letting_go(spark: SparkSession):
+    """Within it, what a query shuffles goes as soon as the query ends."""
+    before = spark.conf.get(_LET_GO, None)
+    spark.conf.set(_LET_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_LET_GO) if before is None else spark.conf.set(_LET_GO, before)
+
+
 def stored(spark: SparkSession, df: DataFrame, what: str, release: bool = False) -> DataFrame:
     """Write a frame to the shared folder and read it back: later steps start from the files.
 
     With release, what was shuffled for it goes as soon as it is written.
     """
     path = new_folder(spark, what)
-    if release:
-        before = spark.conf.get(_LET_GO, None)
-        spark.conf.set(_LET_GO, "true")
-        try:
-            df.write.parquet(path)
-        finally:
-            spark.conf.unset(_LET_GO) if before is None else spark.conf.set(_LET_GO, before)
-    else:
+    with letting_go(spark) if release else nullcontext():
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bidmill.llm.common import byte_powers, mixed, span_hashes, stored
+from bidmill.llm.common import byte_powers, letting_go, mixed, span_hashes, stored
 
 LENGTH = 200
 PIECE = 48
@@ -413,8 +413,9 @@ def _longer(length: int, piece: int) -> int:
 
 def _in_turns(parts: DataFrame, kinds: DataFrame, each: int) -> list[DataFrame]:
     """Kinds, of up to `each` bytes, by their anchors in turns: at once their bytes are at most _SHARE of all that is looked at."""
-    whole = parts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    turns = max(1, ceil(kinds.count() * each / max(1, whole * _SHARE)))
+    with letting_go(parts.sparkSession):
+        whole = parts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        turns = max(1, ceil(kinds.count() * each / max(1, whole * _SHARE)))
     return [kinds.where(F.pmod(F.xxhash64("anchor"), F.lit(turns)) == i) for i in range(turns)] if turns > 1 else [kinds]
 
 
